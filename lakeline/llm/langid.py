@@ -7,8 +7,8 @@ the stored back-off weights. Each sentence gets the language of the lowest cross
 none where even that is above what held-out sentences of the language reach (calibrated rejection).
 The confidence is the posterior of the language under a temperature fitted to the same held-out sentences.
 
-Fitting. Labels are known to be wrong at times, so the models are fitted twice: on sentences by the
-label of their document, then on the sentences by the language the first models give them. The sample is bounded:
+Fitting. Labels are known to be wrong at times, so the models are fitted in rounds that drop or
+move sentences whose label the other sentences contradict (see ``train``). The sample is bounded:
 ``SAMPLE_DOCS`` labelled documents a language, chosen by a hash of the id. Everything else is applied to every
 document and the whole of its text.
 
@@ -24,6 +24,7 @@ language is known and nothing is found.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -40,6 +41,7 @@ SAMPLE_DOCS = 400
 LEAST_PIECE = 25
 ASIDE = 22
 LEAST_LETTERS = 50
+SOME_LEAD, CLEAR_LEAD = 2.0, 12.0  # nats by which the best language must lead for a sentence to be fitted on: if it is the label, or else
 CHUNK = 400_000  # characters scored at a time
 _SIX = ("da", "en", "de", "sv", "nb", "pl")
 
@@ -228,25 +230,52 @@ def fit(samples: dict[str, list[str]]) -> Model:
     return Model(langs, grams, logp, contexts, backoff, floor, np.full(len(langs), np.inf))
 
 
+def _judged(model: Model, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(column of the best language, its lead over the next in nats over the whole sentence)."""
+    ce = model.cross_entropy(pieces)
+    ends = np.sort(ce, axis=1)
+    lead = (ends[:, 1] - ends[:, 0]) if len(model.langs) > 1 else np.full(len(pieces), np.inf)
+    return ce.argmin(axis=1), lead * np.fromiter(map(len, pieces), dtype=float, count=len(pieces))
+
+
 def train(labelled: dict[str, list[str]]) -> Model:
-    """Fit by label, again by the language found, and calibrate on every tenth sentence, which is held out."""
-    first = fit(labelled)
-    if not first.langs:
-        return first
-    pieces = sorted({p for v in labelled.values() for p in v})
-    guess, _ = first.decide(pieces)
-    by = {x: [p for p, g in zip(pieces, guess) if g == j] for j, x in enumerate(first.langs)}
-    keep = {x: [p for i, p in enumerate(v) if i % 10] for x, v in by.items()}
-    model = fit({x: v or by[x] for x, v in keep.items()})
+    """Fit by label, purify, fit again, and calibrate on every tenth sentence, which is held out.
+
+    First fit: each half of the sentences is judged by models of the other half; those stay whose language is that of
+    their label, with some lead. Second fit: on those; then every sentence of the sample counts for the language it is
+    clearly given, whatever its label. A wrong label thus feeds no final model.
+    """
+    # How often a sentence stands under a label is the evidence, so repeats stay; they alternate between the halves.
+    pairs = sorted((x, p) for x, v in labelled.items() for p in v)
+    langs = sorted({x for x, _ in pairs})
+    if not langs:
+        return fit({})
+    clean: dict[str, list[str]] = {x: [] for x in langs}
+    for side in (0, 1):
+        other, mine = pairs[1 - side :: 2], pairs[side::2]
+        model = fit({x: [p for y, p in other if y == x] for x in langs})
+        if not model.langs or not mine:
+            continue
+        best, lead = _judged(model, [p for _, p in mine])
+        for (x, p), j, m in zip(mine, best, lead):
+            if model.langs[j] == x and m >= SOME_LEAD:
+                clean[x].append(p)
+    second = fit({x: clean[x] or [p for y, p in pairs if y == x] for x in langs})
+    best, lead = _judged(second, [p for _, p in pairs])
+    by: dict[str, list[str]] = {x: [] for x in second.langs}
+    for (x, p), j, m in zip(pairs, best, lead):
+        if m >= CLEAR_LEAD or (second.langs[j] == x and m >= SOME_LEAD):
+            by[second.langs[j]].append(p)
+    model = fit({x: [p for i, p in enumerate(v) if i % 10] or v or clean[x] for x, v in by.items()})
     held = [(model.langs.index(x), p) for x, v in by.items() for i, p in enumerate(v) if i % 10 == 0 and x in model.langs]
     if held:
         truth, own = np.array([j for j, _ in held]), [p for _, p in held]
         ce = model.cross_entropy(own)
         mine = ce[np.arange(len(own)), truth]
-        # Rejection: beyond the mean by eight deviations, of the language or of all of them, whichever is more.
+        # Rejection: beyond what its own held-out sentences reach, and what sentences of other languages begin with.
         for j in range(len(model.langs)):
-            x = mine[truth == j]
-            model.reject[j] = max(x.mean() + 8 * x.std() if len(x) > 4 else 0, mine.mean() + 8 * mine.std())
+            x, foreign = mine[truth == j], ce[truth != j, j]
+            model.reject[j] = max(x.mean() + 8 * x.std() if len(x) > 4 else 0, mine.mean() + 8 * mine.std(), np.quantile(foreign, 0.05) if len(foreign) > 4 else 0)
         lengths = np.array([len(p) for p in own], dtype=float)
         z = -(ce - mine[:, None]) * lengths[:, None]
         loss = [(np.log(np.exp(np.minimum(z * t, 50)).sum(axis=1)).mean(), t) for t in (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0)]
