@@ -2,7 +2,7 @@
 
 Exact for Jaccard similarity of word sets. Records with the same word set form one class; words are
 ordered from rare to frequent; classes with the same prefix and size form one group. Only groups are
-joined, on the words of their prefixes with length and position filters; the pairs of groups that remain are
+joined, on two words of their prefixes with length and position filters; the pairs of groups that remain are
 expanded to classes and verified, and only then to records. Text never travels: words are 64-bit hashes.
 
 Edge cases: null texts count as empty; records with fewer than ``least`` distinct words, or without
@@ -56,33 +56,41 @@ def word_classes(df: DataFrame, id_: str, title: str, summary: str, least: int)
     return members.select("id", "c"), members.groupBy("c").agg(F.first("t").alias("t"))
 
 
+def _word_pairs(prefix: Column) -> Column:
+    """Every two words of a prefix, in its order: (hash of both, place of the second)."""
+    rest = lambda x, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda y, k: F.struct(F.xxhash64(x, y).alias("w"), (i + k + 1).alias("j")))
+    return F.flatten(F.transform(prefix, rest))
+
+
 def similar_classes(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): classes a < b whose sets share at least num/den of the words either has."""
+    """(a, b): classes a < b whose sets share at least num/den (over a half) of the words either has.
+
+    Sets that share k words share two of them within their first n - k + 2, counted from the rarest. So two
+    words are the key, not one: keys stay selective where the vocabulary does not grow with the corpus.
+    """
     words = classes.select("c", F.explode("t").alias("w"))
     df = words.groupBy("w").agg(F.count("*").alias("df"))
     ordered = words.join(df, "w").groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("t"))
-    size = F.size("t")
-    # |x| - ceil(t |x|) + 1 words: any similar set of this size or greater has one of them in its own prefix.
-    ordered = ordered.select("c", "t", size.alias("n"), F.slice("t", 1, size - need(size, num, den) + 1).alias("p"))
-    ordered = materialise(ordered, "ordered")
-    groups = ordered.groupBy("n", "p").agg(F.min("c").alias("g"), F.count("*").alias("m"))
-    placed = materialise(ordered.join(groups, ["n", "p"]).select("c", "g", "t"), "groups")
-
-    index = groups.select("g", "n", F.posexplode("p").alias("i", "w"), F.col("p"))
-    a, b = index.alias("a"), index.alias("b")
-    # Of a pair the one with fewer words (ties: smaller id) is a. shared >= num (n_a + n_b) / (num + den).
-    shared = F.ceil((F.col("a.n") + F.col("b.n")) * num / F.lit(float(num + den)) - 1e-9)
-    first = F.element_at(F.array_intersect("a.p", "b.p"), 1)  # of the words both prefixes have, each pair is made at the first only
-    pairs = a.join(
-        b,
-        (F.col("a.w") == F.col("b.w")) & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.g") < F.col("b.g"))))
-        & (F.col("a.n") * den >= F.col("b.n") * num) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= shared),
-    ).where(F.col("a.w") == first).select(F.col("a.g").alias("ga"), F.col("b.g").alias("gb"))
+    n = F.size("t")
+    # Of a pair a has no more words than b. With b at least num/den n_b words are shared, with a at least 2 num / (num + den) n_a.
+    longer, shorter = n - need(n, num, den) + 2, n - need(n, 2 * num, num + den) + 2
+    ordered = ordered.select("c", "t", n.alias("n"), F.slice("t", 1, longer).alias("p"), F.least(shorter, n).alias("short"))
+    ordered = materialise(ordered.select("c", F.xxhash64("n", "p").alias("g"), "n", "t", "p", "short"), "ordered")
+    # A group is a size and a prefix. Its label may by chance be that of another one too: that adds candidates, it loses none.
+    groups = ordered.groupBy("g", "n", "p", "short").agg(F.count("*").alias("m"))
+
+    a = groups.select(F.col("g").alias("ga"), F.col("n").alias("na"), F.inline(_word_pairs(F.slice("p", 1, F.col("short"))))).withColumnRenamed("j", "ja")
+    b = groups.select(F.col("g").alias("gb"), F.col("n").alias("nb"), F.inline(_word_pairs(F.col("p")))).withColumnRenamed("j", "jb")
+    shared = F.floor(((F.col("na") + F.col("nb")) * num + (num + den - 1)) / (num + den))
+    # Words up to the place of the second common one count as two; the rest of the shorter set bounds what can follow.
+    most = 2 + F.least(F.col("na") - F.col("ja") - 1, F.col("nb") - F.col("jb") - 1)
+    near = (F.col("na") * den >= F.col("nb") * num) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ga") < F.col("gb")))) & (most >= shared)
+    pairs = a.join(b, "w").where(near).select("ga", "gb").distinct()
     # A group of several classes is also held against itself.
-    pairs = pairs.unionByName(groups.where("m > 1").select(F.col("g").alias("ga"), F.col("g").alias("gb")))
-    x = placed.select(F.col("g").alias("ga"), F.col("c").alias("ca"), F.col("t").alias("ta"))
-    y = placed.select(F.col("g").alias("gb"), F.col("c").alias("cb"), F.col("t").alias("tb"))
-    both = pairs.join(x, "ga").join(y, "gb").where((F.col("ga") != F.col("gb")) | (F.col("ca") < F.col("cb")))
+    own = groups.groupBy("g").agg(F.sum("m").alias("m")).where("m > 1").select(F.col("g").alias("ga"), F.col("g").alias("gb"))
+    x = ordered.select(F.col("g").alias("ga"), F.col("c").alias("ca"), F.col("t").alias("ta"))
+    y = ordered.select(F.col("g").alias("gb"), F.col("c").alias("cb"), F.col("t").alias("tb"))
+    both = pairs.unionByName(own).join(x, "ga").join(y, "gb").where((F.col("ga") != F.col("gb")) | (F.col("ca") < F.col("cb")))
     common = F.size(F.array_intersect("ta", "tb"))
     close = both.where(common * den >= (F.size("ta") + F.size("tb") - common) * num)
     return close.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
@@ -91,6 +99,8 @@ def similar_classes(classes: DataFrame, num: int, den: int) -> DataFrame:
 def near_duplicates(df: DataFrame, *, id_: str = "id", title: str = "title", summary: str = "summary", threshold: tuple[int, int] = THRESHOLD, least: int = LEAST_WORDS) -> DataFrame:
     """(id_a, id_b), id_a < id_b: every pair of records that is similar enough."""
     members, classes = word_classes(df, id_, title, summary, least)
+    if 2 * threshold[0] <= threshold[1]:
+        raise ValueError("the threshold must exceed a half")
     links = similar_classes(classes, *threshold)
     a, b = members.select(F.col("id").alias("x"), F.col("c").alias("a")), members.select(F.col("id").alias("y"), F.col("c").alias("b"))
     apart = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
