@@ -177,6 +177,8 @@ def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(samples: dict[str, list[str]]) -> Model:
     """Interpolated Kneser-Ney models of the languages that have sentences."""
     langs = [x for x in sorted(samples) if samples[x]]
+    if not langs:
+        return Model([], [], [], [], [], np.empty(0, np.float32), np.empty(0))
     counts: list[list] = []  # by language and order: grams, counts, contexts, suffixes
     for lang in langs:
         h, place, _ = _hashes(samples[lang])

@@ -110,7 +110,7 @@ def draw_counts(weight: np.ndarray, blocks: np.ndarray, max_uses: np.ndarray, sl
         n = np.random.default_rng([seed, i]).multinomial(size, p)
         over = np.maximum(n - left, 0)
         n -= over
-        spare = left - n
+        spare = np.where(want > 0, left - n, 0)
         # What spent sources can't give falls to those with the most left in proportion; order decides ties.
         rest = min(int(over.sum()), int(spare.sum()))
         if rest:
@@ -160,7 +160,10 @@ def mixture_plan(blocks: DataFrame, weights: DataFrame, block: int = BLOCK, shar
     i, j = np.nonzero(counts)
     draws = pd.DataFrame({"shard": i, "s": [listed[x].s for x in j], "n": n[j], "base": base[i, j], "c": counts[i, j]})
     drawn = spark.createDataFrame(draws, "shard int, s string, n long, base long, c long").repartition("shard")
-    slot = drawn.select("shard", "s", "n", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("c") - 1)).alias("k"))
+    # In two steps, so that no array holds all slots a shard takes from a source.
+    end = F.col("base") + F.col("c") - 1
+    step = drawn.select("shard", "s", "n", end.alias("end"), F.explode(F.sequence(F.col("base"), end, F.lit(4096).cast("long"))).alias("k0"))
+    slot = step.select("shard", "s", "n", F.explode(F.sequence(F.col("k0"), F.least(F.col("k0") + 4095, F.col("end")))).alias("k"))
     use = F.floor(F.col("k") / F.col("n"))
     return slot.select("shard", "s", use.alias("use"), permuted(F.col("k") % F.col("n"), F.col("n"), F.concat_ws("\u0001", "s", use.cast("string"), F.lit(str(seed)))).alias("b"))
 

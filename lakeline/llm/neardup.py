@@ -108,21 +108,41 @@ def near_duplicates(df: DataFrame, *, id_: str = "id", title: str = "title", sum
     return apart.unionByName(same).distinct()
 
 
-def duplicate_groups(df: DataFrame, **how) -> DataFrame:
-    """(id, group, links): the group is the smallest id that can be reached over similar pairs.
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(v, label): smallest node that can be reached. Labels spread over edges and jump to the label of their label, each round written
+    to the shared folder, until none changes: rounds grow with the logarithm of the longest path."""
+    both = materialise(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
+    labels = nodes.select("v", F.col("v").alias("label"))
+    while True:
+        near = both.join(labels, "v").groupBy(F.col("u").alias("v")).agg(F.min("label").alias("m"))
+        step = materialise(labels.join(near, "v", "left").select("v", F.least("label", "m").alias("l"), F.col("label").alias("was")), "labels")
+        jump = step.join(step.select(F.col("v").alias("l"), F.col("l").alias("far")), "l", "left").select("v", F.coalesce("far", "l").alias("label"), "was")
+        labels = materialise(jump, "labels")
+        if not labels.where("label <> was").limit(1).count():
+            return labels.select("v", "label")
+        labels = labels.drop("was")
+
+
+def duplicate_groups(df: DataFrame, *, id_: str = "id", title: str = "title", summary: str = "summary", threshold: tuple[int, int] = THRESHOLD, least: int = LEAST_WORDS) -> DataFrame:
+    """(id, group, links) of each record that is similar to another: the smallest id it is connected to, and to how many it is similar.
 
-    Labels spread over links between records until none changes; each round is written to the shared folder.
+    Works on classes of equal texts; copies are counted, not expanded into pairs.
     """
-    pairs = materialise(near_duplicates(df, **how), "pairs")
-    edges = pairs.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).unionByName(pairs.select(F.col("id_b").alias("u"), F.col("id_a").alias("v")))
-    links = edges.groupBy("u").agg(F.count("*").alias("links"), F.least(F.col("u"), F.min("v")).alias("l"))
-    labels = materialise(links.select("u", "l", "links"), "labels")
-    while True:
-        near = edges.join(labels.select(F.col("u").alias("v"), F.col("l").alias("m")), "v").groupBy("u").agg(F.min("m").alias("m"))
-        step = labels.join(near, "u").select("u", F.least("l", "m").alias("l"), "links", F.col("l").alias("was"))
-        # Pointer jump: the label of my label.
-        jump = step.join(step.select(F.col("u").alias("l"), F.col("l").alias("far")), "l", "left").select("u", F.coalesce("far", "l").alias("l"), "links", "was")
-        done = materialise(jump, "labels")
-        labels = done.drop("was")
-        if not done.where("l <> was").limit(1).count():
-            return labels.select(F.col("u").alias("id"), F.col("l").alias("group"), "links")
+    members, classes = word_classes(df, id_, title, summary, least)
+    links = materialise(similar_classes(classes, *threshold), "links")
+    # Versions of one id connect their classes.
+    first = members.groupBy("id").agg(F.min("c").alias("a"), F.count("*").alias("versions"))
+    held = materialise(members.join(first, "id"), "members")
+    versions = held.where("a <> c").select("a", F.col("c").alias("b"))
+    label = components(classes.select(F.col("c").alias("v")), links.unionByName(versions))
+    group = held.join(label, held["c"] == label["v"]).groupBy("label").agg(F.min("id").alias("group"))
+    placed = held.join(label, held["c"] == label["v"]).join(group, "label").groupBy("id").agg(F.min("group").alias("group"))
+    # Classes a record is similar to: its own and those linked to them.
+    around = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(classes.select(F.col("c").alias("a"), F.col("c").alias("b")))
+    reach = held.select("id", F.col("versions").alias("own"), F.col("c").alias("from")).join(around, F.col("from") == F.col("a")).select("id", "own", F.col("b").alias("c")).distinct()
+    single = held.where("versions = 1").groupBy("c").agg(F.count("*").alias("k"))
+    counted = reach.join(single, "c").groupBy("id", "own").agg(F.sum("k").alias("k")).select("id", (F.col("k") - F.when(F.col("own") == 1, 1).otherwise(0)).alias("k"))
+    # Ids with several versions may be reached through more than one; those few are told apart by name.
+    several = reach.join(held.where("versions > 1").select("c", F.col("id").alias("other")), "c").where("id <> other").groupBy("id").agg(F.count_distinct("other").alias("k"))
+    total = counted.unionByName(several).groupBy("id").agg(F.sum("k").alias("links")).where("links > 0")
+    return total.join(placed, "id").select("id", "group", "links")
