@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeline.sources import fs
 
-_OWN = ("_k", "_at", "_file", "_row", "_unit", "_bytes")
+_OWN = ("_k", "_at", "_file", "_row", "_unit", "_bytes", "_group")
 
 
 @dataclass
@@ -56,7 +56,8 @@ class SizeTieredCompactor:
         units.select("_unit", "_bytes", F.pmod(F.xxhash64("_unit"), F.lit(parts)).alias("_group")).write.mode("overwrite").parquet(f"{at}/inputs")
         placed = rows.repartition(parts, *by)
         # Rows of one key within one group are in one partition already: this aggregation needs no further exchange.
-        newest = placed.groupBy(*dict.fromkeys([*by, "_k"])).agg(F.max(F.struct("_at", "_file", "_row", *[c for c in rows.columns if c not in _OWN and c not in by and dict(rows.dtypes)[c][:3] != "map"])).alias("_w"))
+        payload = [c for c in rows.columns if c not in _OWN and c not in by]
+        newest = placed.groupBy(*dict.fromkeys([*by, "_k"])).agg(F.max_by(F.struct("_at", "_file", "_row", *payload), F.struct("_at", "_file", "_row")).alias("_w"))
         newest.select("_k", "_w.*").write.mode("overwrite").parquet(f"{at}/rows")
         out = self.spark.read.parquet(f"{at}/rows")
         out.groupBy(F.col("_metadata.file_path").alias("_unit")).agg(F.max("_metadata.file_size").alias("_bytes"), F.count("*").alias("_rows")).write.mode("overwrite").parquet(f"{at}/outputs")
@@ -75,9 +76,9 @@ class SizeTieredCompactor:
             rows.where(~F.coalesce(F.col("part_file").endswith(".tmp"), F.lit(False))).join(meta, "part_file", "left")
             .select(F.trim(F.col(f"`{key}`")).alias("_k"), "_at", F.col("part_file").alias("_file"), F.col("row_no").alias("_row"), F.coalesce("part_file", F.lit("")).alias("_unit"), *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(other)])
         )
-        units = (
-            meta.where(~F.col("part_file").endswith(".tmp")).select(F.col("part_file").alias("_unit"), F.coalesce("_bytes", F.lit(self.least_bytes)).alias("_bytes"))
-        )
+        stored = rows.select(F.coalesce("part_file", F.lit("")).alias("_unit")).distinct()  # parts with rows that the list may lack
+        listed = meta.where("part_file is not null").select(F.col("part_file").alias("_unit"), "_bytes")
+        units = listed.join(stored, "_unit", "full").where(~F.col("_unit").endswith(".tmp")).select("_unit", F.coalesce("_bytes", F.lit(self.least_bytes)).alias("_bytes"))
         level, pending = 0, [(live, units)]
         while True:
             level += 1
