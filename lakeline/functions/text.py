@@ -115,7 +115,7 @@ def duration_text(seconds: Column) -> Column:
     s = F.greatest(F.lit(0), F.round(seconds)).cast("long")
     d, h, m = F.floor(s / 86400), F.floor(s % 86400 / 3600), F.floor(s % 3600 / 60)
     text = lambda a, x, b, y: F.concat(a.cast("string"), F.lit(x), b.cast("string"), F.lit(y))
-    return F.when(s.isNull(), "–").when(d > 0, text(d, "d ", h, "h")).when(h > 0, text(h, "h ", m, "m")).when(m > 0, text(m, "m ", s % 60, "s")).otherwise(F.concat(s.cast("string"), F.lit("s")))
+    return F.when(seconds.isNull(), "–").when(d > 0, text(d, "d ", h, "h")).when(h > 0, text(h, "h ", m, "m")).when(m > 0, text(m, "m ", s % 60, "s")).otherwise(F.concat(s.cast("string"), F.lit("s")))
 
 
 def ago_text(seconds: Column) -> Column:

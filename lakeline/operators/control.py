@@ -20,7 +20,7 @@ def clamp(value: Column, low: float, high: float, default: float, whole: bool =
     n = value.try_cast("double")
     if whole:
         n = n.try_cast("int")
-    return F.coalesce(F.least(F.lit(high), F.greatest(F.lit(low), n)), F.lit(default))
+    return F.when(n.isNull(), F.lit(default)).otherwise(F.least(F.lit(high), F.greatest(F.lit(low), n)))
 
 
 def overlay(document: Column, defaults: Column) -> Column:
