@@ -24,9 +24,9 @@ def clamp(value: Column, low: float, high: float, default: float, whole: bool =
 
 
 def overlay(document: Column, defaults: Column) -> Column:
-    """Map ``defaults`` with the entries of ``document`` over them (session: mapKeyDedupPolicy LAST_WIN not needed)."""
-    base = F.map_filter(defaults, lambda k, _: ~F.coalesce(F.map_contains_key(document, k), F.lit(False)))
-    return F.map_concat(base, F.coalesce(document, F.map_filter(defaults, lambda *_: F.lit(False))))
+    """Map ``defaults`` with the entries of ``document`` over them."""
+    base = F.map_filter(defaults, lambda k, v: ~F.coalesce(F.map_contains_key(document, k), F.lit(False)))
+    return F.map_concat(base, F.coalesce(document, F.map_filter(defaults, lambda k, v: F.lit(False))))
 
 
 @dataclass(frozen=True)

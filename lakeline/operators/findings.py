@@ -43,7 +43,7 @@ def severity(findings: Column) -> Column:
 
 def derive(df: DataFrame, findings: str = "findings") -> DataFrame:
     """Adds severity, counts, actual_pest and max_enforcement from the findings; null findings count as none."""
-    f = F.coalesce(F.col(findings), F.filter(F.col(findings), lambda _: F.lit(False)), F.from_json(F.lit("[]"), df.schema[findings].dataType.simpleString()))
+    f = F.coalesce(F.col(findings), F.array().cast(df.schema[findings].dataType))
     return df.withColumns({
         "severity": severity(f), "n_findings": F.size(f).cast("long"), "n_actual_findings": F.size(actual(f)).cast("long"),
         "actual_pest": F.exists(actual(f), lambda x: F.coalesce(x["category"] == "pest", F.lit(False))), "max_enforcement": max_enforcement(actual(f)),
