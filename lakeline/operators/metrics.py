@@ -124,6 +124,15 @@ def service_up(running: Column, updated_at: Column, now: float, fresh: float = 1
     return F.coalesce(running & (updated_at != 0) & (F.lit(now) - updated_at < fresh), F.lit(False))
 
 
+def enriched(status: DataFrame, derived: DataFrame, rss: DataFrame, control: dict, now: float) -> DataFrame:
+    """One row: the status with derived figures, feed archive, services, controls and the server's time."""
+    up = lambda name: F.struct(F.lit(name).alias("name"), service_up(F.col(f"{name}_running"), F.col("updated_at"), now).alias("up"))
+    one = lambda df, name: df.select(F.struct("*").alias(name))
+    services = F.array(*[up(n) for n in ("harvest", "extract", "analyze", "overlay")]).alias("services")
+    values = F.struct(*[F.lit(v).alias(k) for k, v in control.items()]).alias("control")
+    return status.select("*", services).join(one(derived, "derived")).join(one(rss, "rss")).select("*", values, F.lit(bool(control.get("paused"))).alias("paused"), F.lit(now).alias("server_now"))
+
+
 def breaker(outcomes: DataFrame, by: list[str], order: list[str], failed: Column, window: int = 40, least: int = 20, trip: float = 0.5) -> DataFrame:
     """Adds ``ratio`` of failures among the last ``window`` outcomes and ``is_open``: once it trips it stays open."""
     w = Window.partitionBy(*by).orderBy(*order)

@@ -93,6 +93,32 @@ def labels(boxes: DataFrame, overrides: DataFrame, keep: list[str]) -> DataFrame
     return named.withColumn("en", en).where(label_key(F.col("en")) != F.col("k")).drop("k", "fixed")
 
 
+def rgb(color: Column) -> Column:
+    """0xRRGGBB as a struct of shares from 0 to 1."""
+    part = lambda n: F.shiftright(color, n).bitwiseAND(255) / 255.0
+    return F.struct(part(16).alias("r"), part(8).alias("g"), part(0).alias("b"))
+
+
+def box_specs(boxes: DataFrame, pixels: DataFrame, band: DataFrame, image_width: int) -> DataFrame:
+    """(box, da, en, conf, bbox, fill, color, bold, avail_x1, font_px, baseline_px) of recognised labels.
+
+    boxes: (box, da, en, conf, x0, y0, x1, y1), pixels: those of the loose boxes, band: those of the box's rows to the right edge.
+    Colours, size and baseline come from the loose box, the cover from the tight one; tight boxes under 3 pixels are dropped.
+    """
+    fill = fills(pixels)
+    ink = inks(pixels, fill)
+    tight = tight_boxes(pixels, fill).where("x1 - x0 >= 3 and y1 - y0 >= 3")
+    inner = pixels.join(tight, "box").where("x >= x0 and x < x1 and y >= y0 and y < y1").select(*pixels.columns)
+    edges = tight.select("box", F.col("x1").alias("x1"), F.lit(image_width - 2).alias("lim"))
+    rows = band.join(tight.select("box", F.col("y0").alias("_a"), F.col("y1").alias("_b")), "box").where("y >= _a and y < _b").drop("_a", "_b")
+    loose = boxes.select("box", "da", "en", "conf", (F.col("y1") - F.col("y0")).cast("double").alias("font_px"))
+    j = loose.join(tight, "box").join(fill, "box").join(ink, "box").join(is_bold(inner, fill, ink), "box", "left").join(room_right(rows, fill, edges), "box")
+    return j.select(
+        "box", "da", "en", "conf", F.array("x0", "y0", "x1", "y1").alias("bbox"), F.array("fr", "fg", "fb").alias("fill"), F.array("tr", "tg", "tb").alias("color"),
+        F.coalesce("bold", F.lit(False)).alias("bold"), "avail_x1", "font_px", baseline(F.col("da"), F.col("y1").cast("double"), F.col("font_px")).alias("baseline_px"),
+    )
+
+
 def variant_key(gray: np.ndarray) -> str:
     """Hash of an image's layout: reduced to 48 x 48 by bilinear sampling, which cells are lighter than the mean."""
     h, w = gray.shape
