@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeline.session import materialise
+
 WORD = 32
 _BLANKS = r"[\s\p{Z}\u0085\u001c-\u001f]+"
 
@@ -44,7 +46,7 @@ def diff_snapshots(
     snap: str = "snap_id", group: tuple[str, ...] = ("source", "kind"), at: str = "fetched_at",
 ) -> DataFrame:
     """(snap, key, change): added, removed or changed by each delivery against the one before."""
-    order = order_deliveries(log, rows, snap, list(group), at)
+    order = materialise(order_deliveries(log, rows, snap, list(group), at), "deliveries")  # one row a delivery
     pieces = [F.coalesce(clean_text(F.col(f"`{c}`")), F.lit("")) for c in text] + [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0002")) for c in exact]
     near = [f"x{i}" for i in range(len(close))]
     slim = rows.select(
@@ -60,6 +62,9 @@ def diff_snapshots(
     )
     versions = slim.select("g", "k", "h1", "h2", *near, F.explode(slots).alias("z")).groupBy("g", "z.w", "k", "h1", "h2", *near).agg(F.bit_or("z.m").alias("m"))
 
+    # Read by three branches below; written once, so that the deliveries are scanned and normalised once.
+    versions = materialise(versions, "versions")
+
     # Residues of EXCEPT ALL: +1 stands in the delivery and not the one before, -1 the other way.
     bits = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(1 << b).cast("long").alias("v"), F.lit(1 << (b - 1)).cast("long").alias("p")) for b in range(1, WORD + 1)])
     signed = F.transform(
