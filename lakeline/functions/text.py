@@ -44,7 +44,8 @@ def doc_type(text: Column) -> Column:
 def sections(text: Column) -> Column:
     """Map of control point to its text: cut before 'header :', pieces of one header joined with a blank."""
     heads = "|".join(re.escape(h) for h in CONTROL_POINTS)
-    pieces = F.filter(F.transform(F.split(text, rf"(?=(?:{heads})\s*:)"), strip), lambda x: x != "")
+    first = "".join(sorted({h[0] for h in CONTROL_POINTS}))  # looked at before the headers themselves are tried
+    pieces = F.filter(F.transform(F.split(text, rf"(?=[{first}])(?=(?:{heads})\s*:)"), strip), lambda x: x != "")
     owner = lambda x: F.coalesce(*[F.when(x.startswith(h), h) for h in CONTROL_POINTS])
     owned = F.filter(F.transform(pieces, lambda x: F.struct(owner(x).alias("h"), x.alias("t"))), lambda z: z["h"].isNotNull())
     names = F.array_distinct(F.transform(owned, lambda z: z["h"]))
