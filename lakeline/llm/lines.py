@@ -21,24 +21,25 @@ from pyspark.sql import functions as F
 from lakeline.session import materialise
 
 SHARE = 0.1
-_EDGE = r"[ .,:;!?\-–|*]+"
+_MARKS = " .,:;!?-–|*"
+#: White space but the blank and the line end.
+_OTHER = "\t\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def line_key(line: Column) -> Column:
     """Lower case, digit runs as one digit, white space runs as one blank, edges without blanks and marks."""
-    s = F.regexp_replace(F.lower(line), r"\p{Nd}+", "0")
-    s = F.regexp_replace(s, r"[\s\p{Z}\u0085\u001c-\u001f]+", " ")
-    return F.regexp_replace(s, f"^{_EDGE}|{_EDGE}$", "")
+    return F.btrim(_folded(line), F.lit(_MARKS))
 
 
-def line_hashes(text: Column) -> Column:
-    """One hash a line of ``text``, null for lines that are empty after normalisation."""
-    # The whole text is normalised at once, with line ends kept; then it is cut and its edges cleaned.
+def _folded(text: Column) -> Column:
     s = F.regexp_replace(F.lower(text), r"\p{Nd}+", "0")
-    s = F.regexp_replace(s, r"[\s\p{Z}\u0085\u001c-\u001f&&[^\n]]+", " ")
-    # Possessive, and begun only at the start of a run of marks: linear in the length of the text.
-    s = F.regexp_replace(s, rf"(?md)^{_EDGE}+|(?<![ .,:;!?\-–|*]){_EDGE}+(?=\n|\z)", "")
-    return F.transform(F.split(s, "\n", -1), lambda x: F.when(x != "", F.xxhash64(x)))
+    return F.regexp_replace(F.translate(s, _OTHER, " " * len(_OTHER)), " {2,}", " ")
+
+
+def line_hashes(text: Column) -> Column:
+    """One hash a line of ``text``, null for lines that are empty after normalisation. Linear in the length of the text."""
+    keys = F.transform(F.split(_folded(text), "\n", -1), lambda x: F.btrim(x, F.lit(_MARKS)))
+    return F.transform(keys, lambda x: F.when(x != "", F.xxhash64(x)))
 
 
 def frequent_lines(docs: DataFrame, *, doc: str, source: str, text: str, share: float = SHARE) -> DataFrame:
@@ -63,7 +64,8 @@ def flag_lines(docs: DataFrame, *, doc: str, source: str, text: str, parts: str
         own = F.concat(own, F.coalesce(F.transform(F.map_entries(parts), lambda e: F.struct(e["key"].alias("place"), e["value"].alias("v"))), F.array().cast("array<struct<place:string,v:string>>")))
     places = docs.select(F.col(source), F.col(doc), F.explode(own).alias("p")).join(hot, source)
     at = F.transform(line_hashes(F.col("p.v")), lambda x, i: F.when(F.array_contains("hot", x), i.cast("long")))
-    return places.select(F.col(doc), F.col("p.place").alias("place"), F.explode(F.filter(at, lambda i: i.isNotNull())).alias("line_no"))
+    # Outer, then filtered: of a plain explode the optimizer would infer a filter on its size, and hash every line twice.
+    return places.select(F.col(doc), F.col("p.place").alias("place"), F.explode_outer(F.filter(at, lambda i: i.isNotNull())).alias("line_no")).where("line_no is not null")
 
 
 def remove_lines(docs: DataFrame, *, doc: str, source: str, text: str, parts: str | None = None, share: float = SHARE) -> DataFrame:
