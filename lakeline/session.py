@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,13 +41,28 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='lakeline-')}")
+        own = tempfile.mkdtemp(prefix="lakeline-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(f"file://{own}")
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused folder for one run of one operator inside the shared folder."""
-    return f"{shared_dir(spark)}/lakeline-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lakeline-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the intermediate tables this process wrote; results that still read them must have been written."""
+    from lakeline.sources import fs
+
+    while _SCRATCH:
+        fs.remove(spark, _SCRATCH.pop())
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -100,3 +100,13 @@ def test_command_line(spark, tmp_path, capsys):
     spark.range(30).selectExpr("cast(id % 10 as string) k", "id v").repartition(5).write.parquet(f"{tmp_path}/in")
     assert cli.main(["compact", f"file://{tmp_path}/in", f"file://{tmp_path}/out", "k"]) == 0
     assert spark.read.parquet(f"file://{tmp_path}/out/data").count() == 10
+
+
+def test_intermediate_tables(spark):
+    from lakeline.session import clean, materialise, shared_dir
+    from lakeline.sources import fs
+
+    df = materialise(spark.range(3).selectExpr("id", "array(id) a", "cast(null as string) s"), "x")
+    assert df.count() == 3 and [n for n in fs.listing(spark, shared_dir(spark)) if n.startswith("lakeline-x-")]
+    clean(spark)
+    assert not [n for n in fs.listing(spark, shared_dir(spark)) if n.startswith("lakeline-x-")]
