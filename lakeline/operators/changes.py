@@ -54,7 +54,7 @@ class ChangeFeed:
     def state(self) -> DataFrame | None:
         """(stream, key, w) of the version in force; w = (order..., hash) of the key's winner."""
         at = self._pointer()
-        return self.spark.read.parquet(f"{at['path']}/state") if at else None
+        return self.spark.read.parquet(f"{at['path']}/state").select("s", "k", "w") if at else None
 
     def settled(self) -> DataFrame | None:
         """(stream, upto): start of the last successful run that the state covers."""
@@ -62,7 +62,8 @@ class ChangeFeed:
         return self.spark.read.parquet(f"{at['path']}/settled") if at else None
 
     def changes(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(f"{path}/changes")
+        """What a version found new or changed; it stands beside the state it led to, in one table written once."""
+        return self.spark.read.parquet(f"{path}/state").select(F.explode("hits").alias("run_id"), F.col("k").alias("item_key"), F.col("s").alias(self.stream))
 
     def advance(self, rows: DataFrame, runs: DataFrame) -> DataFrame:
         """Settle successful ``runs`` (stream, run_id, started_at); returns (run_id, key) new or changed.
@@ -118,16 +119,11 @@ class ChangeFeed:
 
         version = (at["version"] if at else 0) + 1
         path = f"{self.root}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-        both = folded.select("s", "k", F.col("f.w").alias("w"), F.col("f.hits").alias("hits"))
-        both.write.parquet(f"{path}/folded")
-        both = self.spark.read.schema(both.schema).parquet(f"{path}/folded")
-        both.select("s", "k", "w").write.parquet(f"{path}/state")
-        both.where(F.size("hits") > 0).select(F.explode("hits").alias("run_id"), F.col("k").alias("item_key"), F.col("s").alias(self.stream)).write.parquet(f"{path}/changes")
+        folded.select("s", "k", F.col("f.w").alias("w"), F.col("f.hits").alias("hits")).write.parquet(f"{path}/state")
         upto = plan.select("s", F.element_at("due", -1)["started_at"].alias("upto"))
         if at:
             upto = upto.unionByName(self.settled()).groupBy("s").agg(F.max("upto").alias("upto"))
         upto.coalesce(1).write.parquet(f"{path}/settled")
-        fs.remove(self.spark, f"{path}/folded")
         fs.write_text(self.spark, f"{self.root}/CURRENT", json.dumps({"version": version, "path": path}))
         return self.changes(path)
 
