@@ -7,8 +7,9 @@ bit 0), so a bit that is set where its neighbour is not *is* the residue of that
 direction. A row that never changes is shuffled once, not once per pair. The residues alone are then
 joined in full by (pair, key) and labelled.
 
-Coordinates only differ beyond a tolerance. That relation is not transitive, so they are compared
-among the residues: a residue is void if the other side has a row of the same text within it.
+Coordinates only differ beyond a tolerance. That relation is not transitive, so row versions are
+compared pairwise: a residue is void if any row of the other side, itself a residue or not, has the
+same text and coordinates within it.
 
 A key with several distinct rows in a delivery is changed if any of its rows has no equal on the
 other side, added or removed only if the other side has no row of that key at all. Rows whose key
@@ -17,8 +18,6 @@ is null or blank form one key, null. Deliveries without rows repeat the content
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,39 +61,28 @@ def diff_snapshots(
     )
     versions = slim.select("g", "k", "h1", "h2", *near, F.explode(slots).alias("z")).groupBy("g", "z.w", "k", "h1", "h2", *near).agg(F.bit_or("z.m").alias("m"))
 
-    # Read by three branches below; written once, so that the deliveries are scanned and normalised once.
+    # Read by several branches below; written once, so that the deliveries are scanned and normalised once.
     versions = materialise(versions, "versions")
 
-    # Residues of EXCEPT ALL: +1 stands in the delivery and not the one before, -1 the other way.
+    # What stands in a delivery up to the tolerance: the bits of all row versions of the same key and text that are close.
+    cover = versions.withColumn("c", F.col("m"))
+    if near:
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in ("g", "w", "k", "h1", "h2")]
+        close_to = [(F.col(f"p.{x}").isNull() & F.col(f"q.{x}").isNull()) | F.coalesce(F.abs(F.col(f"p.{x}") - F.col(f"q.{x}")) <= tolerance * (1 + 1e-7), F.lit(False)) for x in near]
+        pairs = versions.alias("p").join(versions.alias("q"), [*same, *close_to]).select("p.*", F.col("q.m").alias("c"))
+        cover = pairs.groupBy("g", "w", "k", "h1", "h2", *near).agg(F.first("m").alias("m"), F.bit_or("c").alias("c"))
+
+    # Residues of EXCEPT ALL: new ones stand in the delivery and not the one before, the others the other way.
+    has = lambda c, bit: F.col(c).bitwiseAND(bit) != 0
     bits = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(1 << b).cast("long").alias("v"), F.lit(1 << (b - 1)).cast("long").alias("p")) for b in range(1, WORD + 1)])
     signed = F.transform(
-        F.filter(bits, lambda x: (F.col("m").bitwiseAND(x["v"]) != 0) != (F.col("m").bitwiseAND(x["p"]) != 0)),
-        lambda x: F.struct((F.col("w") * WORD + x["b"]).alias("n"), (F.col("m").bitwiseAND(x["v"]) != 0).alias("new")),
+        F.filter(bits, lambda x: (has("m", x["v"]) & ~has("c", x["p"])) | (has("m", x["p"]) & ~has("c", x["v"]))),
+        lambda x: F.struct((F.col("w") * WORD + x["b"]).alias("n"), has("m", x["v"]).alias("new")),
     )
     # Delivery 1 has none before it; a delivery beyond the last does not exist.
     last = order.groupBy("g").agg(F.max("n").alias("last"))
-    residues = versions.select("g", "k", "h1", "h2", *near, F.explode(signed).alias("r")).select("g", "k", "h1", "h2", *near, "r.n", "r.new").join(last, "g").where("n > 1 and n <= last").drop("last")
-
-    match = ["g", "n", "k", "h1", "h2"]
-    if near:
-        stats = residues.groupBy(*match).agg(
-            F.count_if("new").alias("a"), F.count_if(~F.col("new")).alias("b"),
-            *[f(x).alias(f"{nm}_{x}") for x in near for nm, f in (("lo", F.min), ("hi", F.max))],
-            *[F.count(x).alias(f"n_{x}") for x in near],
-        )
-        total = F.col("a") + F.col("b")
-        tight = reduce(lambda p, q: p & q, [(F.col(f"n_{x}") == 0) | ((F.col(f"n_{x}") == total) & (F.col(f"hi_{x}") - F.col(f"lo_{x}") <= tolerance * (1 + 1e-7))) for x in near])
-        state = F.when((F.col("a") == 0) | (F.col("b") == 0), "open").when(tight, "void").when((F.col("a") == 1) & (F.col("b") == 1), "open").otherwise("mixed")
-        stats = stats.withColumn("state", state)
-        open_ = stats.where("state = 'open'").select("g", "n", "k", (F.col("a") > 0).alias("plus"), (F.col("b") > 0).alias("minus"))
-        # Several rows of one key and text that are not all close: each row needs a partner of its own side's opposite.
-        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in match]
-        mixed = residues.alias("p").join(stats.where("state = 'mixed'").select(*match).alias("q"), same, "left_semi")
-        close_to = [(F.col(f"p.{x}").isNull() & F.col(f"q.{x}").isNull()) | F.coalesce(F.abs(F.col(f"p.{x}") - F.col(f"q.{x}")) <= tolerance * (1 + 1e-7), F.lit(False)) for x in near]
-        lone = mixed.alias("p").join(mixed.alias("q"), [*same, F.col("p.new") != F.col("q.new"), *close_to], "left_anti")
-        open_ = open_.unionByName(lone.select("g", "n", "k", F.col("new").alias("plus"), (~F.col("new")).alias("minus")))
-    else:
-        open_ = residues.select("g", "n", "k", F.col("new").alias("plus"), (~F.col("new")).alias("minus"))
+    residues = cover.select("g", "k", F.explode(signed).alias("r")).select("g", "k", "r.n", "r.new").join(last, "g").where("n > 1 and n <= last").drop("last")
+    open_ = residues.select("g", "n", "k", F.col("new").alias("plus"), (~F.col("new")).alias("minus"))
     # The full join of both residues by key, as one aggregation over their union.
     sides = open_.groupBy("g", "n", "k").agg(F.max("plus").alias("plus"), F.max("minus").alias("minus")).withColumn("w", F.floor((F.col("n") - 1) / WORD).cast("int"))
     present = versions.groupBy("g", "w", "k").agg(F.bit_or("m").alias("have"))

@@ -75,3 +75,26 @@ def test_hot_key(spark):
     rows = [(s, i, "hot", f"t{i}", None, 0, 1.0, 1.0, None, None) for s in (1, 2) for i in range(3000)] + [(s, i, f"k{i}", "t", None, 0, None, None, None, None) for s in (1, 2) for i in range(3000)]
     assert found(spark, rows, log) == []
     assert found(spark, rows[1:], log) == [(2, "hot", "changed")]
+
+
+def test_noisy_copy_beside_an_equal_row(spark):
+    """The partner of a noisy copy may be a row that stands in both deliveries, so no residue itself."""
+    log = [(i, "s", "k", float(i), "p") for i in (1, 2)]
+    row = lambda s, k, x, y=2.0: (s, 0, k, "A", None, 0, x, y, None, None)
+    rows = [
+        row(1, "copy in new", 1.0), row(2, "copy in new", 1.0), row(2, "copy in new", 1.0 + 2e-7),
+        row(1, "copy in old", 1.0), row(1, "copy in old", 1.0 + 2e-7), row(2, "copy in old", 1.0),
+        row(1, "no x", None), row(2, "no x", None), row(2, "no x", None, 2.0 + 2e-7),
+        row(1, "one far", 1.0), row(2, "one far", 1.0), row(1, "one far", 1.000008), row(2, "one far", 0.999993),  # residues apart, each close to the equal row
+        row(1, "far", 1.0), row(2, "far", 1.0), row(2, "far", 1.00002), row(1, "null", 1.0), row(2, "null", 1.0), row(2, "null", None),
+    ]
+    assert found(spark, rows, log) == brute(rows, log) == [(2, "far", "changed"), (2, "null", "changed")]
+
+
+@pytest.mark.parametrize("n", [4, 70])
+def test_random_copies(spark, n):
+    """Few keys and texts, many copies of them within and beyond the tolerance."""
+    r = random.Random(n)
+    log = [(i, "s", "k", float(i), None) for i in range(n)]
+    rows = [(i, j, k, "A", None, 0, r.choice([1.0, 1.000008, 1.000016, 1.00003, None]), r.choice([2.0, 2.0, None]), None, None) for i in range(n) for k in "abcdefgh" for j in range(r.randrange(4))]
+    assert found(spark, rows, log) == brute(rows, log)
