@@ -68,6 +68,13 @@ def report_prompts(spark: SparkSession, d: str) -> DataFrame:
     return t.select("report_id", "doc_type", F.length("text").cast("long").alias("n_chars"), findings.prompt_text(F.col("text")).alias("prompt"))
 
 
+@query("select report_id, doc_type, length(text) n_chars, left(text, 6000) prompt from smiley_extract where doc_type = 'report'")
+def report_prompts_all(spark: SparkSession, d: str) -> DataFrame:
+    """Prompts of every report, as in the reference's analyze step; ``report_prompts`` has only those with a navnelbnr."""
+    t = table(spark, d, "smiley_extract").where("doc_type = 'report'")
+    return t.select("report_id", "doc_type", F.length("text").cast("long").alias("n_chars"), findings.prompt_text(F.col("text")).alias("prompt"))
+
+
 @query("select report_id, control_points, list_sort(map_keys(sections)) section_keys, len(map_keys(sections)) n_sections from smiley_extract where sections is not null")
 def section_keys(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "smiley_extract").where("sections is not null")

@@ -365,3 +365,13 @@ def test_registry(spark):
     known = spark.createDataFrame([("Engvej 1, st.", "1000", 1.0, 2.0), ("engvej  1", "1000 ", 3.0, 4.0), ("Bygade 2", "1000", 5.0, 6.0)], "street string, postcode string, lat double, lng double")
     rows = spark.createDataFrame([("a", "ENGVEJ 1", "1000"), ("b", "Ny 3", "1000"), ("c", "Ny 3", "9999"), ("d", None, None)], "id string, s string, p string")
     assert {r.id: (r.located_by, r.lat) for r in registry.locate(rows, known, street="s", postcode="p").collect()} == {"a": ("address", 2.0), "b": ("postcode", 3.0), "c": (None, None), "d": (None, None)}
+
+
+def test_prompts_of_reports_without_business(spark, tmp_path):
+    from lakeline.plans import reference
+
+    rows = [("1", "b", "report", "x" * 6001), ("2", None, "report", "short"), ("3", None, "placard", "y"), ("4", None, None, None)]
+    spark.createDataFrame(rows, "report_id string, navnelbnr string, doc_type string, text string").write.parquet(f"{tmp_path}/smiley_extract.parquet")
+    got = reference.QUERIES["report_prompts_all"](spark, str(tmp_path)).collect()
+    assert sorted((r.report_id, r.n_chars, len(r.prompt)) for r in got) == [("1", 6001, 6000), ("2", 5, 5)]
+    assert [r.report_id for r in reference.QUERIES["report_prompts"](spark, str(tmp_path)).collect()] == ["1"]
