@@ -80,3 +80,45 @@ def test_real_files(spark, tmp_path):
     out = c.run(rows, parts, "report_id")
     assert out.count() == 300 and out.select("report_id").distinct().count() == 300
     assert spark.read.parquet(c.journal()[-1]["outputs"]).count() == 1
+
+
+def names(spark, entries):
+    return [r._unit for x in entries for r in spark.read.parquet(x["inputs"]).collect()]
+
+
+@pytest.mark.parametrize("fan_in", [2, 512])
+def test_added_parts_alone_are_merged(spark, tmp_path, fan_in):
+    """A second run takes the added parts and only those compacted files that share a bucket of keys with them."""
+    one = lambda i, k, at: ((k, f"v{i}", None, i, f"part-{i}", 0), ("d", f"part-{i}", at, 1, 1000))
+    first, more = [one(i, f"k{i}", 1.0) for i in range(24)], [one(90, "k3", 2.0), one(91, " k3", 3.0), one(92, "k3", 0.5)]
+    frames = lambda x: (spark.createDataFrame([r for r, _ in x], ROWS), spark.createDataFrame([p for _, p in x], PARTS))
+    c = SizeTieredCompactor(spark, f"file://{tmp_path}", fan_in=fan_in, target_bytes=3000)
+    c.run(*frames(first), "report_id")
+    before = c.journal()
+    files = spark.read.parquet(before[-1]["outputs"]).count()
+    assert files > 1
+    assert kept(c.run(*frames(first + more), "report_id")) == brute([r for r, _ in first + more], [p for _, p in first + more])
+    later = [x for x in c.journal() if x not in before]
+    taken = names(spark, later)
+    assert later and not {f"part-{i}" for i in range(24)} & set(taken) and {"part-90", "part-91", "part-92"} <= set(taken)
+    assert sum(before[-1]["txn"] in n for n in taken) == 1  # of all files by key, the one of k3
+    every = names(spark, c.journal())
+    assert len(every) == len(set(every))
+    # Once more: nothing new. The old parts gone: they stay compacted.
+    done = len(c.journal())
+    assert kept(c.run(*frames(first + more), "report_id")) == kept(c.run(*frames(more), "report_id")) == brute([r for r, _ in first + more], [p for _, p in first + more])
+    assert len(c.journal()) == done
+
+
+def test_growth_and_changed_parts_compact_anew(spark, tmp_path):
+    rows, parts = data(3)
+    c = SizeTieredCompactor(spark, f"file://{tmp_path}", fan_in=4, target_bytes=1 << 20)
+    frames = lambda r, p: (spark.createDataFrame(r, ROWS), spark.createDataFrame(p, PARTS))
+    few = [r for r in rows if r[4] in ("part-1", "part-2")]
+    assert kept(c.run(*frames(few, parts[1:3]), "report_id")) == brute(few, parts[1:3])
+    assert kept(c.run(*frames(rows, parts[:36]), "report_id")) == brute(rows, parts[:36])  # many more buckets
+    later = [(*p[:2], p[2] + 7.0, *p[3:]) if p[1] == "part-5" else p for p in parts[:36]]
+    fewer = [r for r in rows if r[4] != "part-7"]
+    assert kept(c.run(*frames(rows, later), "report_id")) == brute(rows, later)
+    assert kept(c.run(*frames(fewer + [r for r in rows if r[4] == "part-7"][:1], later), "report_id")) == brute(fewer + [r for r in rows if r[4] == "part-7"][:1], later)
+    assert c.journal()[-1]["gen"] == 3
