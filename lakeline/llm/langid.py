@@ -13,9 +13,13 @@ move sentences whose label the other sentences contradict (see ``train``). The s
 document and the whole of its text.
 
 Paragraphs lie between blank lines (white space only) and are numbered from 0; sentences end with a
-letter and . ! or ? before white space. Bracketed or quoted asides of under 40 characters, and
-lead-ins of at most ``ASIDE`` letters before a colon, are no part of a sentence; pieces with fewer
-than ``LEAST_PIECE`` letters (names, dates, codes) get no language.
+letter and . ! or ? before white space. What comes before a colon, and what stands in brackets or angled
+quotes, is a piece of its own, of whatever length, so that a foreign insertion is not taken for the sentence
+around it. Every piece is scored. One whose own posterior is below ``CLEAR`` (names, short notices)
+is judged together with the nearest clear piece of its paragraph and has the confidence that follows;
+the lengths of texts decide nothing. All pieces are in the segments; letters of a paragraph's
+sentences are those outside brackets and quotes. Only pieces without a clear neighbour that are too
+short for one n-gram of the model are no segment.
 
 Edge cases: null, empty and blank texts have no paragraphs and no language; labels that name no known
 language are null; a text is judged by itself, so repeated rows agree; without any labelled row no
@@ -24,26 +28,26 @@ language is known and nothing is found.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ORDER = 5
 SAMPLE_DOCS = 400
-LEAST_PIECE = 25
-ASIDE = 22
 LEAST_LETTERS = 50
+NEIGHBOUR = 1e4  # how many times likelier than another the language of the nearest clear piece is
+CLEAR = 1 - 1 / NEIGHBOUR  # posterior from which a piece is judged by itself
+KNOWN_LIMIT = 400_000  # judged pieces one worker remembers; beyond it the memory is emptied
 SOME_LEAD, CLEAR_LEAD = 2.0, 12.0  # nats by which the best language must lead for a sentence to be fitted on: if it is the label, or else
 CHUNK = 400_000  # characters scored at a time
-_SIX = ("da", "en", "de", "sv", "nb", "pl")
 
 # Codes and names of the languages.
 NAMES = {
@@ -64,34 +68,46 @@ def named_language(label: Column) -> Column:
 
 
 _BLANK_LINE = re.compile(r"\n\s*\n")
-_ASIDES = re.compile(r"\([^()]{0,40}\)|»[^«»]{0,40}«|\[[^\[\]]{0,40}\]")
-_ENDS = re.compile(r"(?<=[^\W\d_][.!?])\s+")
-_LEAD = re.compile(r"^[^:.]{1,60}:\s")
+_ASIDES = re.compile(r"\([^()]*\)|»[^«»]*«|\[[^\[\]]*\]")
 _NOT_LETTER = re.compile(r"[^\w]+|[\d_]+")
-_DASHED = re.compile(r"(?:^|(?<=\s))–\s[^.–]{1,40}\.(?=\s|$)")
+_END = "\u0000"
 
 
-def sentences(text: str | None) -> list[tuple[int, str, int]]:
-    """(paragraph, letters and blanks in lower case, number of letters) of each sentence long enough."""
-    out = []
+def pieces(text: str | None) -> list[tuple[int, str, bool]]:
+    """(paragraph, piece, whether it is in brackets or quotes); those come after the others of their paragraph."""
+    out: list[tuple[int, str, bool]] = []
     no = -1
-    for para in _BLANK_LINE.split(text or ""):
-        if not para.strip():
+    for para in _BLANK_LINE.split(unicodedata.normalize("NFC", text or "").replace(_END, " ")):
+        flat = " ".join(para.split())
+        if not flat:
             continue
         no += 1
-        flat = unicodedata.normalize("NFC", para)
-        flat = _DASHED.sub(" ", _ASIDES.sub(" ", " ".join(flat.split())))
-        for piece in _ENDS.split(flat):
-            lead = _LEAD.match(piece.lstrip())
-            if lead and sum(map(str.isalpha, lead[0])) <= ASIDE:
-                piece = piece.lstrip()[lead.end() :]
-            words = " ".join(_NOT_LETTER.sub(" ", piece.lower()).split())
-            letters = len(words) - words.count(" ")
-            if letters >= LEAST_PIECE:
-                out.append((no, words, letters))
+        asides = [x[1:-1] for x in _ASIDES.findall(flat)] if "(" in flat or "»" in flat or "[" in flat else []
+        if asides:
+            flat = " ".join(_ASIDES.sub(" ", flat).split())
+        for group, aside in [(flat, False), *((x, True) for x in asides)]:
+            held = ""
+            for x in group.replace(". ", "." + _END).replace("! ", "!" + _END).replace("? ", "?" + _END).split(_END):
+                held = f"{held} {x}" if held else x
+                if held[-2:-1].isalpha():
+                    out += [(no, y, aside) for y in held.split(": ")]
+                    held = ""
+            if held:
+                out += [(no, y, aside) for y in held.split(": ")]
     return out
 
 
+def plain(piece: str) -> str:
+    """Letters and blanks of a piece, in lower case."""
+    return " ".join(_NOT_LETTER.sub(" ", piece.lower()).split())
+
+
+def sentences(text: str | None) -> list[tuple[int, str, int]]:
+    """(paragraph, letters and blanks in lower case, number of letters) of each piece with letters outside brackets and quotes."""
+    found = ((no, plain(x)) for no, x, aside in pieces(text) if not aside)
+    return [(no, x, len(x) - x.count(" ")) for no, x in found if x]
+
+
 def _hashes(pieces: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """H[k][i]: hash of the k characters that end at i (H[0] is zero); place within the piece; piece number."""
     flat = "".join(f"\u0002{p} " for p in pieces)
@@ -120,7 +136,7 @@ class Model:
     contexts: list[np.ndarray]
     backoff: list[np.ndarray]
     floor: np.ndarray
-    reject: np.ndarray
+    reject: np.ndarray  # by language: cross-entropy that a long piece may have, and what the root of a piece's length divides
     temperature: float = 1.0
 
     def cross_entropy(self, pieces: list[str]) -> np.ndarray:
@@ -155,16 +171,23 @@ class Model:
         sums = np.stack([np.bincount(owner, weights=total[:, j], minlength=len(pieces)) for j in range(len(self.langs))], axis=1)
         return -sums / np.maximum(np.bincount(owner, minlength=len(pieces)) - 1, 1)[:, None]
 
-    def decide(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(column of the language or -1, confidence) of each piece."""
+    def posteriors(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(posterior by language, whether the piece is rejected) of each piece."""
         if not pieces or not self.langs:
-            return np.full(len(pieces), -1), np.zeros(len(pieces))
+            return np.zeros((len(pieces), len(self.langs))), np.ones(len(pieces), bool)
         ce = self.cross_entropy(pieces)
         best = ce.argmin(axis=1)
         lengths = np.fromiter(map(len, pieces), dtype=float, count=len(pieces))
-        z = -(ce - ce.min(axis=1, keepdims=True)) * (lengths * self.temperature)[:, None]
-        confidence = 1 / np.exp(z).sum(axis=1)
-        return np.where(ce[np.arange(len(best)), best] <= self.reject[best], best, -1), confidence
+        z = np.exp(-(ce - ce.min(axis=1, keepdims=True)) * (lengths * self.temperature)[:, None])
+        allowed = np.maximum(self.reject[0, best], self.reject[1, best] + self.reject[2, best] / np.sqrt(np.maximum(lengths, 1)))
+        return z / z.sum(axis=1, keepdims=True), ce[np.arange(len(best)), best] > allowed
+
+    def decide(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(column of the language or -1, confidence) of each piece by itself."""
+        p, rejected = self.posteriors(pieces)
+        if not pieces or not self.langs:
+            return np.full(len(pieces), -1), np.zeros(len(pieces))
+        return np.where(rejected, -1, p.argmax(axis=1)), p.max(axis=1)
 
 
 def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +201,7 @@ def fit(samples: dict[str, list[str]]) -> Model:
     """Interpolated Kneser-Ney models of the languages that have sentences."""
     langs = [x for x in sorted(samples) if samples[x]]
     if not langs:
-        return Model([], [], [], [], [], np.empty(0, np.float32), np.empty(0))
+        return Model([], [], [], [], [], np.empty(0, np.float32), np.empty((3, 0)))
     counts: list[list] = []  # by language and order: grams, counts, contexts, suffixes
     for lang in langs:
         h, place, _ = _hashes(samples[lang])
@@ -229,7 +252,7 @@ def fit(samples: dict[str, list[str]]) -> Model:
         logp.append(np.log(p).astype(np.float32))
         contexts.append(ctx_keys)
         backoff.append(np.log(w).astype(np.float32))
-    return Model(langs, grams, logp, contexts, backoff, floor, np.full(len(langs), np.inf))
+    return Model(langs, grams, logp, contexts, backoff, floor, np.full((3, len(langs)), np.inf))
 
 
 def _judged(model: Model, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -274,11 +297,14 @@ def train(labelled: dict[str, list[str]]) -> Model:
         truth, own = np.array([j for j, _ in held]), [p for _, p in held]
         ce = model.cross_entropy(own)
         mine = ce[np.arange(len(own)), truth]
-        # Rejection: beyond what its own held-out sentences reach, and what sentences of other languages begin with.
-        for j in range(len(model.langs)):
-            x, foreign = mine[truth == j], ce[truth != j, j]
-            model.reject[j] = max(x.mean() + 8 * x.std() if len(x) > 4 else 0, mine.mean() + 8 * mine.std(), np.quantile(foreign, 0.05) if len(foreign) > 4 else 0)
         lengths = np.array([len(p) for p in own], dtype=float)
+        # Rejection: beyond what its own held-out pieces reach, and what pieces of other languages begin with. The mean over a piece varies with the root of its length.
+        off = (mine - mine.mean()) * np.sqrt(lengths)
+        for j in range(len(model.langs)):
+            x, foreign = off[truth == j], ce[truth != j, j]
+            model.reject[0, j] = np.quantile(foreign, 0.05) if len(foreign) > 4 else 0
+            model.reject[1, j] = mine.mean()
+            model.reject[2, j] = max(x.mean() + 8 * x.std() if len(x) > 4 else 0, 8 * off.std())
         z = -(ce - mine[:, None]) * lengths[:, None]
         loss = [(np.log(np.exp(np.minimum(z * t, 50)).sum(axis=1)).mean(), t) for t in (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0)]
         model.temperature = min(loss)[1]
@@ -286,61 +312,117 @@ def train(labelled: dict[str, list[str]]) -> Model:
 
 
 def labelled_sample(docs: DataFrame, text: str, label: str, id_: str, per_language: int = SAMPLE_DOCS) -> dict[str, list[str]]:
-    """Sentences by language of a bounded sample of labelled documents, chosen by a hash of the id."""
-    known = docs.select(F.col(text).alias("t"), named_language(F.col(label)).alias("l"), F.xxhash64(F.col(id_), F.lit("sample")).alias("o")).where("t is not null and l is not null")
-    picked = None
-    for lang in _SIX:
-        part = known.where(F.col("l") == lang).orderBy("o").limit(per_language)
-        picked = part if picked is None else picked.unionByName(part)
+    """Sentences by language of a bounded sample of labelled documents with an id, chosen by a hash of it.
+
+    Labels and ids of all documents are read first, each task keeping no more than ``per_language`` a language; then the text of those chosen.
+    """
+    order = F.xxhash64(F.col(id_), F.lit("sample")).alias("o")
+    first = Window.partitionBy("l").orderBy("o")
+    known = docs.where(F.col(id_).isNotNull() & F.col(text).isNotNull())
+    chosen = known.select(named_language(F.col(label)).alias("l"), order).where("l is not null").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    keys = [x.o for x in chosen.select("o").distinct().collect()]  # at most per_language a language
+    picked = known.where(order.isin(keys)).select(named_language(F.col(label)).alias("l"), order, F.col(text).alias("t")).where("l is not null")
+    picked = picked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)  # an id may stand in many rows
     out: dict[str, list[str]] = {}
-    for row in picked.select("l", "t").collect():  # at most per_language documents a language
+    for row in picked.select("l", "o", "t").orderBy("l", "o").collect():
         out.setdefault(row.l, []).extend(p for _, p, _ in sentences(row.t))
     return out
 
 
-_SEGMENT = T.StructType([T.StructField("para_no", T.LongType()), T.StructField("seg_no", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("letters", T.LongType())])
-_ARROW_SEGMENT = pa.struct([("para_no", pa.int64()), ("seg_no", pa.int64()), ("lang", pa.string()), ("confidence", pa.float64()), ("letters", pa.int64())])
+_FIELDS = {"para_no": (T.LongType(), pa.int64()), "seg_no": (T.LongType(), pa.int64()), "lang": (T.StringType(), pa.string()), "confidence": (T.DoubleType(), pa.float64()), "letters": (T.LongType(), pa.int64()), "sentence_letters": (T.LongType(), pa.int64())}
+_SEGMENT = T.StructType([T.StructField(k, v[0]) for k, v in _FIELDS.items()])
+_ARROW_SEGMENT = pa.struct([(k, v[1]) for k, v in _FIELDS.items()])
+
+
+class Judge:
+    """Judges pieces by a model; pieces that come again are not scored again."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known: dict[str, tuple[int, int, float, np.ndarray | None]] = {}  # piece -> letters, language, confidence, posterior where it is not clear
+
+    def learn(self, raw: Iterable[str]) -> None:
+        if len(self.known) > KNOWN_LIMIT:
+            self.known.clear()
+        new = [x for x in dict.fromkeys(raw) if x not in self.known]
+        words = [plain(x) for x in new]
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        post, rejected = self.model.posteriors(list(distinct))
+        best, sure = (post.argmax(axis=1), post.max(axis=1)) if len(self.model.langs) else (np.zeros(len(post), int), np.zeros(len(post)))
+        for x, w in zip(new, words):
+            i = distinct[w]
+            self.known[x] = (len(w) - w.count(" "), -1 if rejected[i] else int(best[i]), float(sure[i]), None if rejected[i] or sure[i] >= CLEAR else post[i])
+
+    def segments(self, found: list[tuple[int, str, bool]]) -> list[dict]:
+        """Neighbouring pieces of one paragraph and language as one segment; its confidence is the mean by letters."""
+        out: list[dict] = []
+        at = 0
+        while at < len(found):
+            para, to = found[at][0], at
+            while to < len(found) and found[to][0] == para:
+                to += 1
+            judged = [(*self.known[x], aside) for _, x, aside in found[at:to]]
+            own = [j for j, x in enumerate(judged) if x[0] and x[1] >= 0 and x[3] is None]
+            where, seg = 0, 0
+            for j, (letters, lang, sure, post, aside) in enumerate(judged):
+                if not letters:
+                    continue
+                if post is not None and own:
+                    while where + 1 < len(own) and abs(own[where + 1] - j) < abs(own[where] - j):
+                        where += 1
+                    post = post.copy()
+                    post[judged[own[where]][1]] *= NEIGHBOUR
+                    lang = int(post.argmax())
+                    sure = float(post[lang] / post.sum())
+                elif not own and letters < ORDER:
+                    continue
+                name = self.model.langs[lang] if lang >= 0 else None
+                if out and out[-1]["para_no"] == para and out[-1]["lang"] == name:
+                    s = out[-1]
+                    s["confidence"] = (s["confidence"] * s["letters"] + sure * letters) / (s["letters"] + letters)
+                    s["letters"] += letters
+                    s["sentence_letters"] += 0 if aside else letters
+                else:
+                    out.append({"para_no": para, "seg_no": seg, "lang": name, "confidence": sure, "letters": letters, "sentence_letters": 0 if aside else letters})
+                    seg += 1
+            at = to
+        return out
 
 
-def _segments(found: list[tuple[int, int]], letters: list[int], langs: list[str], confidence: list[float]) -> list[dict]:
-    """Neighbouring sentences of one paragraph and language as one segment; its confidence is the mean by letters."""
-    out: list[dict] = []
-    for (para, lang), n, sure in zip(found, letters, confidence):
-        name = langs[lang] if lang >= 0 else None
-        if out and out[-1]["para_no"] == para and out[-1]["lang"] == name:
-            s = out[-1]
-            s["confidence"] = (s["confidence"] * s["letters"] + sure * n) / (s["letters"] + n)
-            s["letters"] += n
-        else:
-            out.append({"para_no": para, "seg_no": out[-1]["seg_no"] + 1 if out and out[-1]["para_no"] == para else 0, "lang": name, "confidence": sure, "letters": n})
-    return out
+_JUDGES: dict[str, Judge] = {}  # of one worker; the last model only
+
+
+def _judge(key: str, model: Model) -> Judge:
+    if key not in _JUDGES:
+        _JUDGES.clear()
+        _JUDGES[key] = Judge(model)
+    return _JUDGES[key]
 
 
 def identify(docs: DataFrame, *, text: str = "text", label: str = "lang", id_: str = "doc_id", out: str = "segments", per_language: int = SAMPLE_DOCS, model: Model | None = None) -> DataFrame:
-    """``docs`` without ``text`` and with ``out``: segments (para_no, seg_no, lang, confidence, letters) in order."""
+    """``docs`` without ``text`` and with ``out``: segments (para_no, seg_no, lang, confidence, letters, sentence_letters) in order."""
     model = model or train(labelled_sample(docs, text, label, id_, per_language))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # bounded by the sample
     kept = [c for c in docs.columns if c not in (text, out)]
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(out, T.ArrayType(_SEGMENT))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        judge = _judge(key, shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                rows = [sentences(t) for t in part.column(text).to_pylist()]
-                distinct = {p: i for i, p in enumerate(dict.fromkeys(p for r in rows for _, p, _ in r))}
-                lang, sure = m.decide(list(distinct))
-                got = [_segments([(no, int(lang[distinct[p]])) for no, p, _ in r], [n for *_, n in r], m.langs, [float(sure[distinct[p]]) for _, p, _ in r]) for r in rows]
+                rows = [pieces(t) for t in part.column(text).to_pylist()]
+                judge.learn(x for r in rows for _, x, _ in r)
+                got = [judge.segments(r) for r in rows]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(got, type=pa.list_(_ARROW_SEGMENT))], names=[*kept, out])
 
     return docs.select(*kept, text).mapInArrow(run, schema)
 
 
 def paragraph_languages(found: DataFrame, *, id_: str = "doc_id", segments: str = "segments", least: int = LEAST_LETTERS) -> DataFrame:
-    """(id, para_no, para_lang, letters) of the languages with at least ``least`` letters; no shuffle, one row at a time."""
+    """(id, para_no, para_lang, letters) of the languages with at least ``least`` letters of sentences; no shuffle, one row at a time."""
     keys = F.array_distinct(F.transform(F.filter(segments, lambda s: s["lang"].isNotNull()), lambda s: F.struct(s["para_no"].alias("p"), s["lang"].alias("l"))))
-    sums = F.transform(keys, lambda k: F.struct(k["p"].alias("para_no"), k["l"].alias("para_lang"), F.aggregate(F.filter(segments, lambda s: (s["para_no"] == k["p"]) & (s["lang"] == k["l"])), F.lit(0).cast("long"), lambda a, s: a + s["letters"]).alias("letters")))
+    sums = F.transform(keys, lambda k: F.struct(k["p"].alias("para_no"), k["l"].alias("para_lang"), F.aggregate(F.filter(segments, lambda s: (s["para_no"] == k["p"]) & (s["lang"] == k["l"])), F.lit(0).cast("long"), lambda a, s: a + s["sentence_letters"]).alias("letters")))
     rest = [c for c in found.columns if c not in (id_, segments)]
     return found.select(id_, *rest, F.inline(F.filter(sums, lambda s: s["letters"] >= least)))
 
