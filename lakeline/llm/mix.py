@@ -8,7 +8,7 @@
    each shard the number of slots by source is drawn from a multinomial distribution; a source whose
    ``max_uses`` are spent gives its slots in excess to sources that still have some.
 3. The k-th slot of a source takes block perm(k mod n) of use k div n, where perm is a pseudorandom
-   permutation of that source and use (a Feistel network with cycle walking): every block is used
+   permutation of that source and use (a Feistel network with a short walk): every block is used
    once before any is used again. Slots meet blocks in an equi-join by (source, block).
 
 Only tables of one row a source, and the shards by sources matrix (at most ``SHARDS`` rows) are
@@ -33,6 +33,7 @@ from lakeline.session import materialise
 BLOCK = 256
 SHARDS = 1024
 BUCKET_DOCS = 2000
+SLOTS_A_TASK = 1 << 14
 
 
 def source_key(c: Column) -> Column:
@@ -61,24 +62,40 @@ def feasibility(sources: DataFrame) -> DataFrame:
     return out.withColumn("short", F.col("target") > F.col("most")).drop("sum_w", "total")
 
 
-def token_blocks(docs: DataFrame, weights: DataFrame, block: int = BLOCK, vocabulary: str = VOCABULARY, seed: int = 0) -> DataFrame:
-    """(s, b, ids): block b = 0, 1, ... of each listed source's token stream."""
+def packed_documents(docs: DataFrame, weights: DataFrame, vocabulary: str = VOCABULARY, seed: int = 0, ids: bool = True) -> DataFrame:
+    """(s, at, n) of each document of a listed source that has tokens, and its ``ids`` if asked for: n tokens from place ``at`` of the source's stream."""
     mine = docs.select("doc_id", source_key(F.col("source")).alias("s"), "text").join(listed_sources(weights).select("s"), "s", "left_semi")
-    coded = materialise(encode_column(mine, "text", vocabulary=vocabulary).where(F.size("ids") > 0).withColumn("n", F.size("ids").cast("long")), "ids")
+    coded = encode_column(mine, "text", vocabulary=vocabulary).withColumn("n", F.size("ids").cast("long")) if ids else count_tokens(mine, "text", out="n", vocabulary=vocabulary)
+    coded = materialise(coded.where("n > 0"), "ids" if ids else "counts")
     buckets = max(1, coded.count() // BUCKET_DOCS)
     # Documents are put in order by a hash of their id; a bucket is a range of it, of about BUCKET_DOCS documents whatever the source.
     coded = coded.withColumn("r", F.xxhash64("doc_id", F.lit(seed))).withColumn("q", F.floor((F.col("r") / F.lit(2.0**64) + 0.5) * buckets).cast("int"))
     sums = materialise(coded.groupBy("s", "q").agg(F.sum("n").alias("n")), "sums")
     by_source = F.expr("sum(n) over (partition by s order by q rows between unbounded preceding and 1 preceding)")
     base = sums.select("s", "q", F.coalesce(by_source, F.lit(0)).alias("base"))
-    inside = F.expr("sum(n) over (partition by s, q order by r, doc_id, ids rows between unbounded preceding and 1 preceding)")
-    placed = coded.withColumn("before", F.coalesce(inside, F.lit(0))).join(base, ["s", "q"]).withColumn("at", F.col("base") + F.col("before"))
+    inside = F.expr(f"sum(n) over (partition by s, q order by r, doc_id, {'ids' if ids else 'n'} rows between unbounded preceding and 1 preceding)")
+    placed = coded.withColumn("before", F.coalesce(inside, F.lit(0))).join(base, ["s", "q"])
+    return placed.select("s", (F.col("base") + F.col("before")).alias("at"), "n", *(["ids"] if ids else []))
+
+
+def _cut(placed: DataFrame, block: int) -> DataFrame:
+    """A row for each block a document reaches into, with the places low and high of the part in it."""
     first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("n") - 1) / block)
-    cut = placed.select("s", "at", "ids", "n", F.explode(F.sequence(first, last)).alias("b"))
-    low = F.greatest(F.col("at"), F.col("b") * block)
-    high = F.least(F.col("at") + F.col("n"), (F.col("b") + 1) * block)
-    piece = F.slice("ids", (low - F.col("at") + 1).cast("int"), (high - low).cast("int"))
-    return cut.select("s", "b", low.alias("o"), piece.alias("p")).groupBy("s", "b").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("o", "p"))), lambda x: x["p"])).alias("ids"))
+    cut = placed.select("*", F.explode(F.sequence(first, last)).alias("b"))
+    return cut.withColumns({"low": F.greatest(F.col("at"), F.col("b") * block), "high": F.least(F.col("at") + F.col("n"), (F.col("b") + 1) * block)})
+
+
+def token_blocks(docs: DataFrame, weights: DataFrame, block: int = BLOCK, vocabulary: str = VOCABULARY, seed: int = 0) -> DataFrame:
+    """(s, b, ids): block b = 0, 1, ... of each listed source's token stream."""
+    cut = _cut(packed_documents(docs, weights, vocabulary, seed), block)
+    piece = F.slice("ids", (F.col("low") - F.col("at") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
+    return cut.select("s", "b", F.col("low").alias("o"), piece.alias("p")).groupBy("s", "b").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("o", "p"))), lambda x: x["p"])).alias("ids"))
+
+
+def block_sizes(docs: DataFrame, weights: DataFrame, block: int = BLOCK, vocabulary: str = VOCABULARY, seed: int = 0) -> DataFrame:
+    """(s, b, size) of the blocks of ``token_blocks``, packed by the documents' numbers of tokens alone."""
+    cut = _cut(packed_documents(docs, weights, vocabulary, seed, ids=False), block)
+    return cut.groupBy("s", "b").agg(F.sum(F.col("high") - F.col("low")).alias("size"))
 
 
 def reachable(weight: np.ndarray, most: np.ndarray, slots: int) -> np.ndarray:
@@ -126,21 +143,21 @@ def draw_counts(weight: np.ndarray, blocks: np.ndarray, max_uses: np.ndarray, sl
 
 
 def permuted(k: Column, n: Column, key: Column, rounds: int = 4) -> Column:
-    """A pseudorandom permutation of 0..n-1 that ``key`` chooses: Feistel network over the next power of four (under 4 n), walked until inside."""
-    half = F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double")) / 2)).cast("int")
-    side = F.call_function("shiftleft", F.lit(1).cast("long"), half)
+    """A pseudorandom permutation of 0..n-1 that ``key`` chooses: a Feistel network over the smallest near-square rectangle of n or more, walked until inside."""
+    wide = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")))).cast("long")
+    high = F.greatest(F.lit(1), F.ceil(n / wide)).cast("long")
 
     def once(x: Column) -> Column:
-        state = F.struct(F.floor(x / side).cast("long").alias("l"), (x % side).alias("r"))
+        state = F.struct(F.call_function("div", x, high).alias("l"), (x % high).alias("r"))
         return F.aggregate(
             F.array(*map(F.lit, range(rounds))), state,
-            lambda a, i: F.struct(a["r"].alias("l"), ((a["l"] + F.pmod(F.xxhash64(a["r"], i, key), side)) % side).alias("r")),
-            lambda a: a["l"] * side + a["r"],
+            lambda a, i: F.when(i % 2 == 0, F.struct(F.pmod(a["l"] + F.pmod(F.xxhash64(a["r"], i, key), wide), wide).alias("l"), a["r"].alias("r")))
+            .otherwise(F.struct(a["l"].alias("l"), F.pmod(a["r"] + F.pmod(F.xxhash64(a["l"], i, key), high), high).alias("r"))),
+            lambda a: a["l"] * high + a["r"],
         )
 
-    # A step ends outside with a chance under 3/4; of 192 steps the first value inside is kept.
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(192)), F.struct(k.cast("long").alias("x"), F.lit(False).alias("ok")), lambda a, _: F.when(a["ok"], a).otherwise(_walked(once(a["x"]), n)), lambda a: a["x"])
-    return walk
+    # Fewer than sqrt(n) + 1 values lie outside, and a walk meets none twice: 24 steps always suffice up to n = 500, beyond it but for a chance of 1e-32.
+    return F.aggregate(F.sequence(F.lit(1), F.lit(24)), F.struct(k.cast("long").alias("x"), F.lit(False).alias("ok")), lambda a, _: F.when(a["ok"], a).otherwise(_walked(once(a["x"]), n)), lambda a: a["x"])
 
 
 def _walked(x: Column, n: Column) -> Column:
@@ -159,10 +176,10 @@ def mixture_plan(blocks: DataFrame, weights: DataFrame, block: int = BLOCK, shar
     base = np.cumsum(counts, axis=0) - counts
     i, j = np.nonzero(counts)
     draws = pd.DataFrame({"shard": i, "s": [listed[x].s for x in j], "n": n[j], "base": base[i, j], "c": counts[i, j]})
-    drawn = spark.createDataFrame(draws, "shard int, s string, n long, base long, c long").repartition("shard")
-    # In two steps, so that no array holds all slots a shard takes from a source.
+    drawn = spark.createDataFrame(draws, "shard int, s string, n long, base long, c long")
+    # In two steps, so that no array holds all slots a shard takes from a source; between them the work is spread, a task for every ``SLOTS_A_TASK``.
     end = F.col("base") + F.col("c") - 1
-    step = drawn.select("shard", "s", "n", end.alias("end"), F.explode(F.sequence(F.col("base"), end, F.lit(4096).cast("long"))).alias("k0"))
+    step = drawn.select("shard", "s", "n", end.alias("end"), F.explode(F.sequence(F.col("base"), end, F.lit(4096).cast("long"))).alias("k0")).repartition(-(-max(slots, 1) // SLOTS_A_TASK), "shard", "s", "k0")
     slot = step.select("shard", "s", "n", F.explode(F.sequence(F.col("k0"), F.least(F.col("k0") + 4095, F.col("end")))).alias("k"))
     use = F.floor(F.col("k") / F.col("n"))
     return slot.select("shard", "s", use.alias("use"), permuted(F.col("k") % F.col("n"), F.col("n"), F.concat_ws("\u0001", "s", use.cast("string"), F.lit(str(seed)))).alias("b"))
@@ -179,7 +196,7 @@ def report(docs: DataFrame, weights: DataFrame, block: int = BLOCK, shards: int
 
     Sizes are those of the packed blocks, which hold every token of the source once.
     """
-    blocks = materialise(token_blocks(docs, weights, block, vocabulary, seed).withColumn("size", F.size("ids")).drop("ids"), "sizes")
+    blocks = materialise(block_sizes(docs, weights, block, vocabulary, seed), "sizes")
     have = blocks.groupBy("s").agg(F.sum("size").alias("tokens"), F.count("*").alias("blocks"))
     listed = listed_sources(weights).join(have, "s", "left").withColumns({"tokens": F.coalesce("tokens", F.lit(0)), "blocks": F.coalesce("blocks", F.lit(0))})
     listed = feasibility(listed)
