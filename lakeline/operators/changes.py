@@ -3,8 +3,13 @@
 State is a table of (stream, key) -> greatest order seen and content hash, kept in numbered
 versions below one folder. ``advance`` hashes the rows that arrived since, joins them with the
 state, yields what is new or changed at each successful run, writes the next version beside the
-old one and only then swaps the pointer ``CURRENT`` by one atomic rename. A failure before the
-swap leaves the old version in force, so a repeated call neither skips nor repeats a record.
+old one and only then commits it: one atomic rename puts ``commits/<n>.json`` in place, if no one else
+did. A failure before that leaves the old version in force, so a repeated call neither skips nor repeats
+a record; of two callers that began at the same version one commits and the other gets ``Conflict``.
+``vacuum`` removes old versions and what failed calls left.
+
+Only rows that arrived after the oldest outstanding run before them and up to the last one due are read on: both bounds
+are literals that reach the scan.
 
 Several outstanding runs are settled by one call: rows are first reduced to one winner per key and
 run, so that a hot key carries at most as many rows as there are runs into the join.
@@ -35,6 +40,10 @@ def content_hash(columns: list[str]) -> Column:
     return F.unhex(F.md5(F.concat_ws("|", *pieces)))
 
 
+class Conflict(RuntimeError):
+    """Another caller committed the version this one wanted to."""
+
+
 @dataclass
 class ChangeFeed:
     """Versioned key and content-hash state of one table, below ``root`` on shared storage."""
@@ -48,8 +57,27 @@ class ChangeFeed:
     arrival: str = "loaded_at"
 
     def _pointer(self) -> dict | None:
-        text = fs.read_text(self.spark, f"{self.root}/CURRENT")
-        return json.loads(text) if text else None
+        names = fs.listing(self.spark, f"{self.root}/commits", ".json")
+        return json.loads(fs.read_text(self.spark, f"{self.root}/commits/{names[-1]}")) if names else None
+
+    def _commit(self, version: int, path: str) -> None:
+        try:
+            fs.write_text(self.spark, f"{self.root}/commits/{version:09d}.json", json.dumps({"version": version, "path": path}), False)
+        except FileExistsError:
+            fs.remove(self.spark, path)
+            raise Conflict(f"version {version} of {self.root} was committed by another caller") from None
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Remove all but the last ``keep`` committed versions, and data without a commit; returns how many. Not beside a running ``advance``."""
+        commits = fs.listing(self.spark, f"{self.root}/commits", ".json")
+        last = commits[max(0, len(commits) - max(1, keep)) :]
+        held = {json.loads(fs.read_text(self.spark, f"{self.root}/commits/{n}"))["path"].rpartition("/")[2] for n in last}
+        gone = [n for n in fs.listing(self.spark, self.root) if n != "commits" and n not in held]
+        for n in gone:
+            fs.remove(self.spark, f"{self.root}/{n}")
+        for n in commits[: len(commits) - len(last)]:
+            fs.remove(self.spark, f"{self.root}/commits/{n}")
+        return len(gone)
 
     def state(self) -> DataFrame | None:
         """(stream, key, w) of the version in force; w = (order..., hash) of the key's winner."""
@@ -77,9 +105,16 @@ class ChangeFeed:
             runs = runs.join(self.settled(), "s", "left").where("upto is null or started_at > upto").withColumn("upto", F.coalesce("upto", F.lit(float("-inf"))))
         else:
             runs = runs.withColumn("upto", F.lit(float("-inf")))
+        span = runs.agg(F.min("upto").alias("low"), F.max("started_at").alias("high")).first()
+        if span.high is None:  # nothing is due
+            kinds = dict(runs.dtypes)["run_id"], dict(rows.dtypes)[k], dict(rows.dtypes)[s]
+            return self.spark.createDataFrame([], f"run_id {kinds[0]}, item_key {kinds[1]}, `{s}` {kinds[2]}")
+        since = F.col(f"`{self.arrival}`") <= span.high
+        if span.low > float("-inf"):
+            since &= F.col(f"`{self.arrival}`") > span.low
         plan = runs.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("started_at", "run_id"))).alias("due"), F.max("upto").alias("upto"))
 
-        arrived = rows.select(
+        arrived = rows.where(since).select(
             F.col(f"`{s}`").alias("s"), F.col(f"`{k}`").alias("k"), F.col(f"`{self.arrival}`").cast("double").alias("a"),
             F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(self.order)], content_hash(self.content).alias("h")).alias("w"),
         ).where("s is not null and k is not null and a is not null")
@@ -124,7 +159,7 @@ class ChangeFeed:
         if at:
             upto = upto.unionByName(self.settled()).groupBy("s").agg(F.max("upto").alias("upto"))
         upto.coalesce(1).write.parquet(f"{path}/settled")
-        fs.write_text(self.spark, f"{self.root}/CURRENT", json.dumps({"version": version, "path": path}))
+        self._commit(version, path)
         return self.changes(path)
 
 

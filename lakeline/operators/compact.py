@@ -44,7 +44,7 @@ class SizeTieredCompactor:
 
     spark: SparkSession
     root: str
-    fan_in: int = 512
+    fan_in: int = 64
     target_bytes: int = 128 << 20
     least_bytes: int = 1024
 
@@ -142,6 +142,43 @@ class SizeTieredCompactor:
         rest = self._standing(majors, self._used([*log, final])) if base else None
         return self._result(out.unionByName(rest[0]) if rest else out, other)
 
+    def levels(self) -> DataFrame:
+        """(level, kind, files_in, bytes_in, files_out, bytes_out) of each committed merge."""
+        one = "level int, kind string, files_in long, bytes_in long, files_out long, bytes_out long"
+        out = self.spark.createDataFrame([], one)
+        for x in self.journal():  # a few merges a call
+            total = lambda path, name: self.spark.read.parquet(path).agg(F.count("*").alias(f"files_{name}"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias(f"bytes_{name}"))
+            row = total(x["inputs"], "in").join(total(x["outputs"], "out")).select(F.lit(x["level"]).alias("level"), F.lit(x["kind"]).alias("kind"), "files_in", "bytes_in", "files_out", "bytes_out")
+            out = out.unionByName(row)
+        return out
+
+    def vacuum(self) -> int:
+        """Remove outputs that a later merge took, data of earlier generations and data without an entry; returns how many files or folders.
+
+        Not beside a running call, nor before results that read those outputs have been written. The lists of inputs and outputs stay.
+        """
+        log = self.journal()
+        gen = max((x.get("gen", 0) for x in log), default=0)
+        now = [x for x in log if x.get("gen", 0) == gen]
+        known, gone = {x["txn"] for x in log}, 0
+        for n in fs.listing(self.spark, f"{self.root}/data"):
+            if n not in known:
+                fs.remove(self.spark, f"{self.root}/data/{n}")
+                gone += 1
+        for x in (x for x in log if x.get("gen", 0) != gen):
+            gone += fs.remove(self.spark, x["rows"])
+        if not now:
+            return gone
+        files = self.spark.read.parquet(*[x["outputs"] for x in now]).select("_unit", "txn")
+        taken = files.join(self._used(now).select("_unit"), "_unit", "left_semi")
+        left = {r.txn for r in files.join(taken.select("_unit"), "_unit", "left_anti").select("txn").distinct().collect()}  # at most one row a merge
+        for x in now:
+            if x["txn"] not in left:
+                gone += fs.remove(self.spark, x["rows"])
+        for r in taken.where(F.col("txn").isin(sorted(left))).select("_unit").toLocalIterator():  # files by key that a later major merge rewrote
+            gone += fs.remove(self.spark, r["_unit"])
+        return gone
+
     def _result(self, out: DataFrame, other: list[str]) -> DataFrame:
         return out.select(F.col("_file").alias("part_file"), F.col("_row").alias("row_no"), *[F.col(f"v{i}").alias(c) for i, c in enumerate(other)])
 

@@ -121,6 +121,32 @@ def p6_files(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def p6_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Files and bytes that each merge of the two datasets took and made, level by level."""
+    out = []
+    for name in P6_SETS:
+        c = SizeTieredCompactor(spark, scratch(spark, f"compact-{name}"))
+        c.run(table(spark, d, name), table(spark, d, "part_files").where(F.col("dataset") == name), "report_id")
+        out.append(c.levels().select(F.lit(name).alias("dataset"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def p6_increments(spark: SparkSession, d: str) -> DataFrame:
+    """Both datasets in two deliveries of parts, the second merged into what the first left: rows, reports and finished parts, and how many parts were merged more than once."""
+    out = []
+    for name in P6_SETS:
+        rows, parts = table(spark, d, name), table(spark, d, "part_files").where(F.col("dataset") == name)
+        cut = parts.agg(F.percentile_approx("written_at", 0.5).alias("m")).first().m
+        early = parts.where(F.col("written_at") <= cut) if cut is not None else parts
+        c = SizeTieredCompactor(spark, scratch(spark, f"increments-{name}"))
+        c.run(rows.join(early.select("part_file").distinct(), "part_file", "left_semi"), early, "report_id")
+        kept = c.run(rows, parts, "report_id").agg(F.count("*").alias("n_after"), F.countDistinct(F.trim("report_id")).alias("n_reports"))
+        taken = spark.read.parquet(*[x["inputs"] for x in c.journal()]).join(parts.select(F.col("part_file").alias("_unit")).distinct(), "_unit", "left_semi")
+        times = taken.groupBy("_unit").agg(F.count("*").alias("n")).agg(F.count("*").alias("n_parts"), F.count_if(F.col("n") > 1).alias("merged_again"))
+        out.append(kept.join(times).select(F.lit(name).alias("dataset"), "n_after", "n_reports", "n_parts", "merged_again"))
+    return reduce(DataFrame.unionByName, out)
+
+
 P6_SQL = """
 with s as (select 'smiley_analyze' dataset, part_file, row_no, trim(report_id) k from smiley_analyze
            union all select 'smiley_translate', part_file, row_no, trim(report_id) from smiley_translate),
@@ -134,5 +160,11 @@ select 'smiley_analyze' dataset, count(*) n_before, count(distinct trim(report_i
 union all select 'smiley_translate', count(*), count(distinct trim(report_id)) filter (part_file not like '%.tmp') from smiley_translate)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_unreadable": p1_unreadable, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_files": p6_files}
-SQL = {"p3_found": P3_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p6_files": P6_FILES_SQL}
+P6_INCREMENTS_SQL = """
+select dataset, n_reports n_after, n_reports, (select count(distinct part_file) from part_files p where p.dataset = x.dataset and part_file not like '%.tmp') n_parts, 0::bigint merged_again from (
+select 'smiley_analyze' dataset, count(distinct trim(report_id)) filter (part_file not like '%.tmp') n_reports from smiley_analyze
+union all select 'smiley_translate', count(distinct trim(report_id)) filter (part_file not like '%.tmp') from smiley_translate) x
+"""
+
+QUERIES = {"p1_found": p1_found, "p1_unreadable": p1_unreadable, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_files": p6_files, "p6_levels": p6_levels, "p6_increments": p6_increments}
+SQL = {"p3_found": P3_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p6_files": P6_FILES_SQL, "p6_increments": P6_INCREMENTS_SQL}

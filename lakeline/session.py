@@ -34,13 +34,15 @@ def build_session(app: str = "lakeline", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one.
 
-    Only where that setting is missing (tests, one machine) is a folder of this machine used.
+    Only where that setting is missing and all executors are on this machine (tests) is a folder of it used.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="lakeline-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         sc.setCheckpointDir(f"file://{own}")

@@ -30,22 +30,30 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Readers see the old document or the new one, never a torn one."""
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Readers see the old document or the new one, never a torn one. Without ``overwrite`` one of several writers wins; the others get FileExistsError."""
     jvm, p, fs = _path(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) if p.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(context.makeQualified(tmp), context.makeQualified(p), options)
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = kinds.OVERWRITE if overwrite else kinds.NONE
+    try:
+        context.rename(context.makeQualified(tmp), context.makeQualified(p), options)
+    except Exception:
+        fs.delete(tmp, False)
+        if not overwrite and fs.exists(p):
+            raise FileExistsError(path) from None
+        raise
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; whether there was one."""
     _, p, fs = _path(spark, path)
-    fs.delete(p, True)
+    return bool(fs.delete(p, True))
 
 
 def listing(spark: SparkSession, path: str, suffix: str = "") -> list[str]:

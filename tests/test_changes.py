@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lakeline.operators.changes import ChangeFeed, successful
+from lakeline.operators.changes import ChangeFeed, Conflict, successful
 from lakeline.sources import fs
 
 ITEMS = "seq long, pipeline string, key string, status string, sha256 string, attempts long, updated_at double, loaded_at double, extra string, w string, s string"
@@ -68,3 +68,48 @@ def test_empty_tables(spark, tmp_path):
     assert feed.advance(none, runs).count() == 0
     assert feed.advance(none, runs.limit(0)).count() == 0
     assert ChangeFeed(spark, f"file://{tmp_path}/other").advance(none, runs.limit(0)).count() == 0
+
+
+def test_of_two_callers_one_commits(spark, tmp_path, monkeypatch):
+    items, runs = data(80, 6)
+    i, r = spark.createDataFrame(items, ITEMS), successful(spark.createDataFrame(runs, RUNS))
+    root = f"file://{tmp_path}/state"
+    one, other = ChangeFeed(spark, root), ChangeFeed(spark, root)
+    one.advance(i, r.where("started_at <= 40"))
+    began = other._pointer()
+    got = {tuple(x)[:2] for x in one.advance(i, r.where("started_at <= 70")).select("run_id", "item_key").collect()}
+    with monkeypatch.context() as m:  # the other began before
+        m.setattr(other, "_pointer", lambda: began)
+        with pytest.raises(Conflict):
+            other.advance(i, r.where("started_at <= 60"))
+    rest = {tuple(x)[:2] for x in other.advance(i, r).select("run_id", "item_key").collect()}
+    assert one._pointer()["version"] == 3 and not got & rest
+    first = {tuple(x)[:2] for x in ChangeFeed(spark, f"file://{tmp_path}/again").advance(i, r.where("started_at <= 40")).select("run_id", "item_key").collect()}
+    assert first | got | rest == brute(items, runs)
+
+
+def test_vacuum_keeps_the_state_in_force(spark, tmp_path):
+    items, runs = data(80, 7)
+    i, r = spark.createDataFrame(items, ITEMS), successful(spark.createDataFrame(runs, RUNS))
+    feed = ChangeFeed(spark, f"file://{tmp_path}/state")
+    got = [feed.advance(i, r.where(f"started_at <= {x}")).collect() for x in (30, 60)]
+    spark.range(1).write.parquet(f"file://{tmp_path}/state/v000003-failed")
+    state = sorted(map(repr, feed.state().collect()))
+    assert feed.vacuum() == 2 and sorted(map(repr, feed.state().collect())) == state and len(fs.listing(spark, f"file://{tmp_path}/state")) == 2
+    got.append(feed.advance(i, r).collect())
+    assert {(x.run_id, x.item_key) for g in got for x in g} == brute(items, runs)
+
+
+def test_bounds_of_arrival_reach_the_scan(spark, tmp_path, capsys, monkeypatch):
+    items, runs = data(120, 8)
+    spark.createDataFrame(items, ITEMS).write.parquet(f"file://{tmp_path}/items")
+    i, r = spark.read.parquet(f"file://{tmp_path}/items"), successful(spark.createDataFrame(runs, RUNS))
+    feed = ChangeFeed(spark, f"file://{tmp_path}/state")
+    feed.advance(i, r.where("started_at <= 60"))
+    seen = []
+    where = type(i).where
+    monkeypatch.setattr(type(i), "where", lambda df, c: seen.append(where(df, c)) or seen[-1])
+    feed.advance(i, r.where("pipeline <> 'z'"))
+    seen[[x.columns == i.columns for x in seen].index(True)].explain()
+    plan = capsys.readouterr().out
+    assert "LessThanOrEqual(loaded_at," in plan and "GreaterThan(loaded_at," in plan

@@ -122,3 +122,25 @@ def test_growth_and_changed_parts_compact_anew(spark, tmp_path):
     assert kept(c.run(*frames(rows, later), "report_id")) == brute(rows, later)
     assert kept(c.run(*frames(fewer + [r for r in rows if r[4] == "part-7"][:1], later), "report_id")) == brute(fewer + [r for r in rows if r[4] == "part-7"][:1], later)
     assert c.journal()[-1]["gen"] == 3
+
+
+def test_vacuum_leaves_the_result(spark, tmp_path):
+    rows, parts = data(4)
+    frames = lambda r, p: (spark.createDataFrame(r, ROWS), spark.createDataFrame(p, PARTS))
+    c = SizeTieredCompactor(spark, f"file://{tmp_path}", fan_in=4, target_bytes=1 << 20)
+    early = [p for p in parts if int(p[1].split("-")[1].split(".")[0]) < 20]
+    c.run(*frames([r for r in rows if r[4] in {p[1] for p in early}], early), "report_id")
+    spark.range(3).write.parquet(f"file://{tmp_path}/data/left-by-a-failure/rows")
+    want = kept(c.run(*frames(rows, parts), "report_id"))
+    assert c.vacuum() > 1 and c.vacuum() == 0
+    assert want == brute(rows, parts) == kept(c.run(*frames(rows, parts), "report_id"))
+    alone = c.journal()[-1]
+    assert all(fs.exists(spark, x["rows"]) == (x["kind"] == "major") for x in c.journal() if x["txn"] != alone["txn"] and x["kind"] == "tier")
+
+
+def test_levels_tell_files_and_bytes(spark, tmp_path):
+    rows, parts = data(5)
+    c = SizeTieredCompactor(spark, f"file://{tmp_path}", fan_in=4)
+    c.run(spark.createDataFrame(rows, ROWS), spark.createDataFrame(parts, PARTS), "report_id")
+    got = c.levels().orderBy("level").collect()
+    assert [x.kind for x in got][-1] == "major" and len(got) == len(c.journal()) and got[-1].files_out == 1 and all(x.files_out < x.files_in and x.bytes_out > 0 for x in got)
