@@ -32,6 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeline.session import materialise
 from lakeline.sources import fs
 
 _OWN = ("_k", "_at", "_file", "_row", "_unit", "_bytes", "_group")
@@ -82,12 +83,13 @@ class SizeTieredCompactor:
         other = [c for c in rows.columns if c not in ("part_file", "row_no")]
         meta = parts.groupBy("part_file").agg(F.max("written_at").alias("_at"), F.max("n_bytes").alias("_bytes"))
         live = (
-            rows.where(~F.coalesce(F.col("part_file").endswith(".tmp"), F.lit(False))).join(meta, "part_file", "left")
-            .select(F.trim(F.col(f"`{key}`")).alias("_k"), "_at", F.col("part_file").alias("_file"), F.col("row_no").alias("_row"), F.coalesce("part_file", F.lit("")).alias("_unit"), *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(other)])
+            rows.where(~F.coalesce(F.col("part_file").endswith(".tmp"), F.lit(False)))
+            .select(F.trim(F.col(f"`{key}`")).alias("_k"), F.col("part_file").alias("_file"), F.col("row_no").alias("_row"), F.coalesce("part_file", F.lit("")).alias("_unit"), *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(other)])
         )
         stored = rows.groupBy(F.coalesce("part_file", F.lit("")).alias("_unit")).agg(F.count("*").alias("_rows"))  # parts with rows that the list may lack
         listed = meta.where("part_file is not null").select(F.col("part_file").alias("_unit"), "_bytes", "_at")
         units = listed.join(stored, "_unit", "full").where(~F.col("_unit").endswith(".tmp")).select("_unit", F.coalesce("_bytes", F.lit(self.least_bytes)).cast("long").alias("_bytes"), F.col("_at").cast("double").alias("_at"), F.coalesce("_rows", F.lit(0)).alias("_rows"))
+        units = materialise(units, "parts")  # a row a part; read by every step below
         log = self.journal()
         level, gen = max((x["level"] for x in log), default=0), max((x.get("gen", 0) for x in log), default=0) or 1
         log = [x for x in log if x.get("gen") == gen]
@@ -97,7 +99,7 @@ class SizeTieredCompactor:
         if log:
             used = self._used(log)
             fresh = units.join(used, "_unit", "left_anti")
-            pending = [(live.join(fresh.select("_unit"), "_unit", "left_semi"), fresh)] if fresh.limit(1).count() else []
+            pending = [(live, fresh)] if fresh.limit(1).count() else []
             tiers = self._standing([x for x in log if x["kind"] == "tier"], used)
             pending += [(tiers[0], _units(tiers[1]))] if tiers else []
             base = self._standing(majors, used)
@@ -116,15 +118,15 @@ class SizeTieredCompactor:
             mine = (tier == at) & (F.col("_bytes") < self.target_bytes)
             inside, outside = u.where(mine), u.where(~mine)
             groups = -(-n // self.fan_in)
-            chosen = r.join(inside.select("_unit"), "_unit", "left_semi").withColumn("_group", F.pmod(F.xxhash64("_unit"), F.lit(groups)))
+            chosen = _picked(r, inside).withColumn("_group", F.pmod(F.xxhash64("_unit"), F.lit(groups)))
             done = self._txn(gen, level, "tier", chosen, inside, groups, ["_group"])
             merged = self._open(done)
             if outside.limit(1).count():
-                pending.append((r.join(outside.select("_unit"), "_unit", "left_semi"), outside))
+                pending.append((r if "_at" not in r.columns else _picked(r, outside), outside))
             pending.append(merged)
-        rows_, units_ = pending[0]
+        rows_, units_ = _picked(*pending[0]), pending[0][1]
         for r, u in pending[1:]:
-            rows_, units_ = rows_.unionByName(r), _units(units_).unionByName(_units(u))
+            rows_, units_ = rows_.unionByName(_picked(r, u)), _units(units_).unionByName(_units(u))
         total = units_.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("b")).first().b
         if base:
             total += base[1].agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("b")).first().b
@@ -209,6 +211,13 @@ class SizeTieredCompactor:
         return rows.withColumn("_unit", F.col("_metadata.file_path")), _units(self.spark.read.parquet(done["outputs"]))
 
 
+def _picked(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """The rows of some files. Rows of parts get the time of their part by the same join; those of outputs have it."""
+    if "_at" in rows.columns:
+        return rows.join(units.select("_unit"), "_unit", "left_semi")
+    return rows.join(units.select("_unit", "_at"), "_unit")
+
+
 def _units(files: DataFrame) -> DataFrame:
     """Files as units of a merge; outputs have no time of their own."""
     at = F.col("_at") if "_at" in files.columns else F.lit(None).cast("double")
