@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,12 +45,8 @@ class Control:
         return 0 if self.paused else getattr(self, knob)
 
 
-def read(spark: SparkSession, path: str) -> Control:
-    """Defaults where the document is missing, broken or no object; present values are clamped."""
-    try:
-        doc = json.loads(fs.read_text(spark, path) or "{}")
-    except ValueError:
-        doc = {}
+def values(doc: object) -> Control:
+    """Defaults where the document is no object or lacks a value; present values are clamped."""
     got = DEFAULTS | (doc if isinstance(doc, dict) else {})
     for k, (low, high, kind) in LIMITS.items():
         try:
@@ -58,6 +56,36 @@ def read(spark: SparkSession, path: str) -> Control:
     return Control(bool(got["paused"]), got["harvest_rate"], got["analyze_concurrency"], got["overlay_concurrency"])
 
 
+def read(spark: SparkSession, path: str) -> Control:
+    """Defaults where the document is missing, broken or no object; present values are clamped."""
+    try:
+        return values(json.loads(fs.read_text(spark, path) or "{}"))
+    except ValueError:
+        return values({})
+
+
+class Reader:
+    """Readings of one control document that keep the last good value while it is missing, torn or no object."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self._last = spark, path, None
+
+    def __call__(self) -> Control:
+        try:
+            doc = json.loads(fs.read_text(self.spark, self.path) or "")
+        except Exception:  # noqa: BLE001 - whatever stands in the way of reading it while it is being replaced
+            doc = None
+        if isinstance(doc, dict) or self._last is None:
+            self._last = values(doc)
+        return self._last
+
+    def wait(self, knob: str, poll: float = 3.0, sleep: Callable[[float], None] = time.sleep, stop: Callable[[], bool] = lambda: False) -> float:
+        """The knob's value as soon as it is above 0 and nothing is paused; 0 only if ``stop`` says so meanwhile."""
+        while (value := self().effective(knob)) <= 0 and not stop():
+            sleep(poll)
+        return value
+
+
 def set_values(spark: SparkSession, path: str, **values: object) -> Control:
     """Merge values into the document; numbers are clamped, what is no number is left as it was."""
     now = asdict(read(spark, path))
@@ -74,11 +102,13 @@ def set_values(spark: SparkSession, path: str, **values: object) -> Control:
     return read(spark, path)
 
 
-def paced(requests: DataFrame, by: list[str], at: str, rate: float, out: str = "start_at") -> DataFrame:
-    """When each request may start if none may within 1/rate of the one before.
+def paced(requests: DataFrame, by: list[str], at: str | list[str], rate: float, out: str = "start_at") -> DataFrame:
+    """When each request may start if none may within 1/rate of the one before; ``at`` is the arrival, and what settles ties if given.
 
     start(i) = max(arrival(i), start(i-1) + 1/rate) = i/rate + max over j <= i of (arrival(j) - j/rate): a running maximum.
     """
-    w = Window.partitionBy(*by).orderBy(at)
+    order = [at] if isinstance(at, str) else at
+    at = order[0]
+    w = Window.partitionBy(*by).orderBy(*order)
     df = requests.withColumn("_i", F.row_number().over(w) / F.lit(float(rate)))
     return df.withColumn(out, F.col("_i") + F.max(F.col(at) - F.col("_i")).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_i")

@@ -58,11 +58,31 @@ def call(df: DataFrame, provider: Provider, text: str, out: str, batch: int = 40
     return df.mapInPandas(run, schema)
 
 
+def call_again(df: DataFrame, provider: Provider, text: str, out: str, batch: int = 40) -> DataFrame:
+    """``call``, and once more for the texts alone that came back without a value; what fails twice stays null."""
+
+    def twice(texts: list[str]) -> list[str | None]:
+        got = list(provider(texts))
+        if len(got) != len(texts):
+            raise ValueError("not as many answers as texts")
+        left = [i for i, x in enumerate(got) if x is None]
+        if left:
+            try:
+                again = list(provider([texts[i] for i in left]))
+            except Exception:  # noqa: BLE001 - the first answers stand
+                again = []
+            for i, x in zip(left, again if len(again) == len(left) else []):
+                got[i] = x
+        return got
+
+    return call(df, twice, text, out, batch)
+
+
 def translate(lines: DataFrame, memo: DataFrame, provider: Provider, text: str = "text", batch: int = 40) -> tuple[DataFrame, DataFrame]:
-    """(lines with ``en``, new pairs): from the memo, else fresh, else the text itself. The provider sees each missing key once."""
+    """(lines with ``en``, new pairs): from the memo, else fresh, else the text itself. The provider sees each missing key once, and once more if it gave none."""
     keyed = lines.withColumn("k", memo_key(F.col(text)))
     missing = keyed.where("k <> ''").groupBy("k").agg(F.min(text).alias("da")).join(memo.select("k"), "k", "left_anti")
-    fresh = call(missing, provider, "da", "en", batch)
+    fresh = call_again(missing, provider, "da", "en", batch)
     pairs = fresh.where("en is not null")
     known = memo.select("k", F.col("en").alias("en1")).unionByName(pairs.select("k", F.col("en").alias("en1")))
     return keyed.join(known, "k", "left").withColumn("en", F.coalesce("en1", F.col(text))).drop("en1", "k"), pairs

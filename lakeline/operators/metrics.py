@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,9 +61,28 @@ def status_document(items: DataFrame, extract: DataFrame, findings: DataFrame, m
     )
 
 
-def clean_history(history: DataFrame) -> DataFrame:
-    """Samples without a time, and repeats of the sample before, are dropped."""
-    w = Window.orderBy("t")
+class LastGood:
+    """An aggregate that is computed again after ``every`` seconds; while that fails the last good value stays."""
+
+    def __init__(self, compute: Callable[[], object], every: float, clock: Callable[[], float] = time.monotonic):
+        self.compute, self.every, self.clock = compute, every, clock
+        self.value: object | None = None
+        self.error: str | None = None
+        self._at: float | None = None
+
+    def __call__(self) -> object | None:
+        if self._at is None or self.clock() - self._at >= self.every:
+            self._at = self.clock()
+            try:
+                self.value, self.error = self.compute(), None
+            except Exception as e:  # noqa: BLE001 - whatever fails, the last value is better than none
+                self.error = f"{type(e).__name__}: {e}"[:200]
+        return self.value
+
+
+def clean_history(history: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Samples without a time, and repeats of the sample before in their series, are dropped."""
+    w = Window.partitionBy(*by).orderBy("t") if by else Window.orderBy("t")
     return history.where("t <> 0").withColumn("_p", F.lag("t").over(w)).where("_p is null or t <> _p").drop("_p")
 
 

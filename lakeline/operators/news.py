@@ -25,6 +25,16 @@ def insert_new(archive: DataFrame, entries: DataFrame) -> DataFrame:
     return first.join(archive.select("id"), "id", "left_anti").select("id", *cols)
 
 
+def poll_log(entries: DataFrame, new: DataFrame, errors: DataFrame, ran_at: float) -> DataFrame:
+    """(ran_at, source, entries, new, error), a row for each source polled: how many entries it gave, how many the archive lacked, or its error.
+
+    entries and new: (source, ...); errors: (source, error) of polls that failed. Sources whose poll gave nothing must be in ``errors``, with null.
+    """
+    n = entries.groupBy("source").agg(F.count("*").alias("entries")).join(new.groupBy("source").agg(F.count("*").alias("new")), "source", "full")
+    j = n.join(errors.groupBy("source").agg(F.max("error").alias("error")), "source", "full")
+    return j.select(F.lit(float(ran_at)).alias("ran_at"), "source", F.coalesce("entries", F.lit(0)).alias("entries"), F.coalesce("new", F.lit(0)).alias("new"), "error")
+
+
 def feed_state(events: DataFrame) -> DataFrame:
     """Last validators of each feed, of polls that gave at least one."""
     return events.where("etag is not null or modified is not null").groupBy("source").agg(F.max(F.struct("seq", "etag", "modified")).alias("w")).select("source", "w.etag", "w.modified")

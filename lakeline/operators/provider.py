@@ -32,6 +32,19 @@ def with_retries(model: Callable[..., str], times: int = 3, first_wait: float =
     return call
 
 
+def is_up(probe: Callable[[], object]) -> bool:
+    """Whether the endpoint answers; an error of any kind means no."""
+    try:
+        return bool(probe())
+    except Exception:  # noqa: BLE001
+        return False
+
+
+def when_up(df: DataFrame, probe: Callable[[], object], work: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """``work(df)`` if the endpoint is up, else None: nothing is asked and nothing is marked as done."""
+    return work(df) if is_up(probe) else None
+
+
 def ask(df: DataFrame, model: Model, prompt: str, out: str = "reply") -> DataFrame:
     """Adds the reply and ``problem`` ('Type: message', 200 characters); a failing row gives a problem, not a failed job."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, `{out}` string, problem string"

@@ -7,12 +7,15 @@ aggregates are by (box) or (box, row) and combined before any shuffle.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeline.functions.text import has_descender, label_key
+from lakeline.operators.memo import call_again
+from lakeline.sources import fs
 
 INK = 90  # summed difference from the fill beyond which a pixel is ink
 RULE = 0.65  # share of a row from which its ink is a printed rule, not a letter
@@ -141,6 +144,48 @@ def unknown_variants(seen: DataFrame, specs: DataFrame) -> DataFrame:
     return seen.join(specs.select("variant"), "variant", "left_anti").groupBy("variant").agg(F.count("*").alias("n"), F.min_by("report_id", "report_id").alias("example")).orderBy(F.desc("n"), "variant")
 
 
+def translate_labels(boxes: DataFrame, provider: Callable[[list[str]], list[str | None]], overrides: DataFrame, keep: list[str]) -> DataFrame:
+    """Boxes (da, ...) with ``en``: each distinct wording is asked for once, gaps keep the text, fixed wordings win; without labels that stay the same."""
+    wordings = call_again(boxes.select("da").distinct(), provider, "da", "en")
+    return labels(boxes.join(wordings, "da", "left"), overrides, keep)
+
+
+class SpecStore:
+    """Specs of variants as a Parquet folder, a file set a variant; a variant is built at most once and misses are remembered.
+
+    ``unknown`` counts how often a variant was asked for in vain.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, build: Callable[[str], DataFrame] | None = None, is_up: Callable[[], bool] = lambda: True):
+        self.spark, self.root, self.build, self.is_up = spark, root, build, is_up
+        self._known: dict[str, DataFrame | None] = {}
+        self._tried: set[str] = set()
+        self.unknown: dict[str, int] = {}
+
+    def load(self, variant: str) -> DataFrame | None:
+        """The spec, or None; either is looked up once."""
+        if variant not in self._known:
+            path = f"{self.root}/variant={variant}"
+            self._known[variant] = self.spark.read.option("basePath", self.root).parquet(path) if fs.exists(self.spark, f"{path}/_SUCCESS") else None
+        return self._known[variant]
+
+    def ensure(self, variant: str) -> DataFrame | None:
+        """The spec, built and stored on first sight. A variant that can't be built is not tried again by this store, unless the provider was down."""
+        spec = self.load(variant)
+        if spec is not None:
+            return spec
+        if self.build is not None and variant not in self._tried and self.is_up():
+            self._tried.add(variant)
+            try:
+                self.build(variant).write.mode("overwrite").parquet(f"{self.root}/variant={variant}")
+                del self._known[variant]
+                return self.load(variant)
+            except Exception:  # noqa: BLE001 - an unknown variant must not end the job
+                pass
+        self.unknown[variant] = self.unknown.get(variant, 0) + 1
+        return None
+
+
 def sample(ids: DataFrame, n: int = 600, seed: int = 11, key: str = "report_id") -> DataFrame:
     """``n`` rows in the order of a seeded hash: without replacement, the same at each call."""
     return ids.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)

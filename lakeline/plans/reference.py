@@ -46,9 +46,18 @@ def report_flags(spark: SparkSession, d: str) -> DataFrame:
     return t.select("report_id", tx.doc_type(F.col("text")).alias("doc_type"), tx.pest(F.col("text")).alias("has_pest"), *[v.alias(k) for k, v in tx.enforcement_flags(F.col("text")).items()])
 
 
-@query()
+_HEADS = "|".join(h.replace(".", "[.]") for h in tx.CONTROL_POINTS)
+_BLANK = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]+"
+
+
+@query(f"""with t as (select row_number() over () n, report_id, doc_type, text from smiley_extract where text is not null),
+p as (select n, generate_subscripts(a, 1) i, unnest(a) x from (select n, string_split(regexp_replace(text, '(({_HEADS})[\\s\\p{{Z}}]*:)', chr(1) || '\\1', 'g'), chr(1)) a from t where doc_type = 'report')),
+o as (select n, i, s, list_filter([{", ".join(f"'{h}'" for h in tx.CONTROL_POINTS)}], lambda h: starts_with(s, h))[1] h from (select n, i, regexp_replace(regexp_replace(x, '^{_BLANK}', ''), '{_BLANK}$', '') s from p)),
+m as (select n, h, min(i) i, string_agg(s, ' ' order by i) v from o where h is not null group by 1, 2),
+s as (select n, list_sort(list(h)) control_points, '{{' || string_agg(to_json(h)::varchar || ':' || to_json(v)::varchar, ',' order by i) || '}}' sections from m group by 1)
+select report_id, case when doc_type = 'report' then coalesce(control_points, []) end control_points, case when doc_type = 'report' then coalesce(sections, '{{}}') end sections from t left join s using (n)""".replace("\\\\", "\\"))
 def report_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Sections rebuilt from the text, and whether they are the stored ones up to white space."""
+    """Sections of reports built from the text."""
     t = table(spark, d, "smiley_extract").where("text is not null").select("report_id", "text", F.when(F.col("doc_type") == "report", tx.sections(F.col("text"))).alias("sections"))
     return t.select("report_id", F.array_sort(F.map_keys("sections")).alias("control_points"), F.to_json("sections").alias("sections"))
 
@@ -397,7 +406,13 @@ def projection(spark: SparkSession, d: str) -> DataFrame:
     return s.select("pipeline", left.alias("requests"), final.alias("final_reports"))
 
 
-@query()
+@query(f"""with q as (select pipeline, count(*) filter (status = 'done') done, count(*) filter (status = 'pending') pending, count(*) filter (status = 'failed') failed, count(*) filter (status = 'skipped') skipped from {_LATEST} group by 1),
+p as (select *, coalesce((done + pending + failed + skipped)::double / nullif(done, 0), 0.0) per, 2 * done + failed unseen from q),
+r as (select *, (done + pending + failed + round_even(per * unseen, 0))::bigint est, pending + failed + unseen * (1 + per) left_ from p),
+e as (select *, case when left_ > 0 then greatest(trunc(left_ / 2.6::double)::bigint, 0) end eta, case when est > done then greatest(trunc((est - done) / 40.0::double)::bigint, 0) end x,
+      round_even(coalesce((done // 2)::double / nullif(done, 0), 0.0) * est, 0)::bigint - done // 4 a from r)
+select pipeline, est est_total_reports, eta eta_seconds, case when x is not null then greatest(x, coalesce(eta, 0)) end extract_eta_seconds,
+case when a > 0 then greatest(trunc(a / 4.0::double)::bigint, coalesce(eta, 0)) end analyze_eta_seconds, null::bigint overlay_eta_seconds from e""")
 def stage_etas(spark: SparkSession, d: str) -> DataFrame:
     s = state.progress_wide(_items(spark, d)).withColumns({
         "b_done": F.col("done"), "b_failed": F.col("failed"), "b_total": F.col("done") * 3, "extracted": F.col("done"), "to_analyze": F.floor(F.col("done") / 2), "analyzed": F.floor(F.col("done") / 4),
@@ -476,7 +491,12 @@ def colour_ink(spark: SparkSession, d: str) -> DataFrame:
     return template.inks(p, template.fills(p))
 
 
-@query()
+@query(f"""with {_PIXELS_SQL}, fl as (select box, fr, fg, fb from (select *, row_number() over (partition by box order by n desc, fr, fg, fb) k from (select box, r // 8 * 8 fr, g // 8 * 8 fg, b // 8 * 8 fb, count(*) n from px group by all)) where k = 1),
+ds as (select px.*, abs(r - fr) + abs(g - fg) + abs(b - fb) d from px join fl using (box)), nk as (select box, r tr, g tg, b tb from (select *, row_number() over (partition by box order by d desc, x) k from ds) where k = 1),
+c as (select box, avg((d > 90)::int) cov from ds group by 1), w as (select box, min(x) x0, max(x) x1, min(x) filter (d > 90) lo, max(x) filter (d > 90) hi from ds group by 1),
+j as (select *, lo is not null and cov > 0.02 and cov < 0.65 ok from w join c using (box))
+select box, case when ok then greatest(x0, lo - 1) else x0 end::int x0, 0::int y0, case when ok then least(x1, hi + 1) + 1 else x1 + 1 end::int x1, 1::int y1, bold from j join
+(select ds.box, avg((abs(r - tr) + abs(g - tg) + abs(b - tb) < d)::int) > 0.295 bold from ds join nk using (box) group by 1) using (box)""")
 def pixel_boxes(spark: SparkSession, d: str) -> DataFrame:
     p = _pixels(spark, d)
     f = template.fills(p)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeline.functions import text as tx
 from lakeline.session import materialise
 from lakeline.sources import fs
 
@@ -82,6 +83,22 @@ def parse_documents(files: DataFrame, parser: Parser) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "report_id string, text string, n_pages long, error string")
 
 
+def extract(parsed: DataFrame, parents: DataFrame) -> DataFrame:
+    """Reports as stored: type, sections of what is no placard, flags and counts of parsed documents (report_id, text, n_pages, error).
+
+    parents: (report_id, navnelbnr). A document that could not be parsed has its error and nothing else.
+    """
+    c = F.col("text")
+    kind = tx.doc_type(c)
+    parts = F.when(kind == "report", tx.sections(c)).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    rows = parsed.join(parents.select("report_id", "navnelbnr").dropDuplicates(["report_id"]), "report_id", "left").withColumn("sections", F.when(c.isNotNull(), parts))
+    good = lambda x: F.when(c.isNotNull(), x)
+    return rows.select(
+        "report_id", good(F.col("navnelbnr")).alias("navnelbnr"), good(kind).alias("doc_type"), good(F.col("n_pages")).alias("n_pages"), F.length(c).cast("long").alias("n_chars"),
+        F.array_sort(F.map_keys("sections")).alias("control_points"), "sections", tx.pest(c).alias("has_pest"), *[v.alias(k) for k, v in tx.enforcement_flags(c).items()], "text", "error",
+    )
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """The one row of ``df`` as a JSON document, replaced atomically."""
     row = df.select(F.to_json(F.struct("*")).alias("j")).first()

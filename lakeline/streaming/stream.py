@@ -42,24 +42,30 @@ def watch(df: DataFrame, out: str, checkpoint: str, every: str = "15 seconds") -
     return df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
-def stage(df: DataFrame, work: Callable[[DataFrame, int, float], None], checkpoint: str, knob: str, control_path: str, once: bool = True) -> StreamingQuery:
+def stage(df: DataFrame, work: Callable[[DataFrame, int, float], None], checkpoint: str, knob: str, control_path: str, once: bool = True, wait: bool = False, poll: float = 3.0) -> StreamingQuery:
     """A stage whose parallelism is read from the control document at each micro-batch.
 
-    While the knob is 0 or everything is paused the batch fails over to the next start instead of
-    being taken: nothing is marked as done, so it comes again with the same id.
+    While the knob is 0 or everything is paused, a stage that may ``wait`` holds its batch and looks again every ``poll``
+    seconds; another one fails over to the next start: nothing is marked as done, so the batch comes again with the same
+    id. A torn document leaves the last good values in force.
     """
-    spark = df.sparkSession
+    reader = control.Reader(df.sparkSession, control_path)
 
     def batch(rows: DataFrame, number: int) -> None:
-        limit = control.read(spark, control_path).effective(knob)
+        limit = reader.wait(knob, poll) if wait else reader().effective(knob)
         if limit <= 0:
             raise PausedError(f"{knob} is paused")
-        work(rows, number, limit)
+        work(gated(rows, limit), number, limit)
 
     w = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime="15 seconds")).start()
 
 
+def gated(rows: DataFrame, limit: float) -> DataFrame:
+    """The rows in at most ``limit`` partitions, so that no more of them are worked on at once."""
+    return rows.coalesce(max(1, int(limit)))
+
+
 class PausedError(RuntimeError):
     """A stage did not take its batch because it is paused."""
 
