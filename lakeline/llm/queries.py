@@ -32,6 +32,28 @@ select distinct report_id, place, line_no from l join h on h.site = l.site and h
 """
 
 
+def p2_texts(spark: SparkSession, d: str) -> DataFrame:
+    """``p2_cleaned`` with the sections as text."""
+    pairs = F.transform(F.map_entries("sections"), lambda e: F.concat(e["key"], F.lit("\u0001"), F.coalesce(e["value"], F.lit("\u0003"))))
+    return p2_cleaned(spark, d).select("report_id", "site", "text", F.array_join(pairs, "\u0002").alias("sections"))
+
+
+
+
+def _p2_kept(v: str) -> str:
+    return f"array_to_string(list_filter(string_split({v}, chr(10)), lambda l: not list_contains(ks, {_P2_KEY.format(x='l')})), chr(10))"
+
+
+P2_TEXTS_SQL = f"""
+with d as (select distinct report_id, site, text from smiley_extract where site is not null and text is not null),
+t as (select distinct report_id, site, {_P2_KEY.format(x='l')} k from (select report_id, site, unnest(string_split(text, chr(10))) l from d)),
+h as (select site, list(k) ks from (select site, k from t where k <> '' group by 1, 2 having count(*) * 10 >= (select count(distinct report_id) from d where d.site = t.site)) group by 1),
+x as (select e.report_id, e.site, e.text, e.sections, coalesce(ks, []) ks from smiley_extract e left join h on h.site = e.site)
+select report_id, site, case when text is not null then {_p2_kept('text')} end "text",
+case when sections is not null then array_to_string(list_transform(map_entries(sections), lambda e: e.key || chr(1) || coalesce({_p2_kept('e.value')}, chr(3))), chr(2)) end sections from x
+"""
+
+
 def _articles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "articles").select("id", "title", "summary")
 
@@ -88,7 +110,7 @@ def p9_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_cleaned": p2_cleaned, "p4_found": p4_found, "p4_groups": p4_groups, "p7_ids": p7_ids, "p7_counts": p7_counts,
+    "p2_found": p2_found, "p2_cleaned": p2_cleaned, "p2_texts": p2_texts, "p4_found": p4_found, "p4_groups": p4_groups, "p7_ids": p7_ids, "p7_counts": p7_counts,
     "p8_found": p8_found, "p8_shares": p8_shares, "p8_mix": p8_mix, "p9_found": p9_found, "p9_segments": p9_segments, "p9_documents": p9_documents,
 }
-SQL = {"p2_found": P2_SQL}
+SQL = {"p2_found": P2_SQL, "p2_texts": P2_TEXTS_SQL}
