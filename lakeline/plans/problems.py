@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeline.operators.changes import ChangeFeed, successful
 from lakeline.operators.compact import SizeTieredCompactor
 from lakeline.operators.diff import diff_snapshots
-from lakeline.operators.instants import number_ms, with_instant
+from lakeline.operators.instants import MONTHS, ZONES, number_ms, with_instant
 from lakeline.session import scratch, table
 
 
@@ -26,6 +26,55 @@ def p1_unreadable(spark: SparkSession, d: str) -> DataFrame:
     return a.where("ms is null").groupBy("published").agg(F.count("*").alias("n"))
 
 
+_WD = r"(?:\pL{2,9}(?:\.?, ?|\.? )(?:den |d\. ?)?)?"
+_REST = r"(\D.*)?$"
+_TZ = r"(?: ?(?:(?:gmt|utc|ut)?([+-])(\d{1,2})(?::?(\d{2}))?|([a-z_]{2,20}(?:/[a-z0-9_+-]{2,30}){1,2})|([a-z]{1,5})))?(?: ?\[([a-z0-9_/+-]{2,60})\])?(?: ?\([^()]{1,40}\))?$"
+_CLOCK = r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2})(?:[.,](\d{1,9}))?)?(?: ?([ap])\.? ?m\b\.?)?"
+_ZN = "['h', 'i', 's', 'f', 'p', 'sg', 'oh', 'om', 'zr', 'za', 'zb']"
+
+
+def _sql_map(values: dict[str, int]) -> str:
+    return f"map {{{', '.join(f"'{k}': {v}" for k, v in values.items())}}}"
+
+
+#: Each written form is taken apart by a pattern of its own, the rest of the text then as a time and a zone.
+_P1_SQL = f"""
+with a as (select distinct published, translate(lower(trim(regexp_replace(published, '[\\s\\p{{Z}}\\x{{85}}\\x{{1c}}-\\x{{1f}}]+', ' ', 'g'))), '−‐‑', '---') c from articles),
+m as (select *, regexp_extract(c, '^(\\d{{4}})([-/.])(\\d{{1,2}})([-/.])(\\d{{1,2}}){_REST}', ['y', 'q', 'm', 'q2', 'd', 'r']) f1,
+ regexp_extract(c, '^{_WD}(\\d{{1,2}})([-/.])(\\d{{1,2}})([-/.])(\\d{{4}}|\\d{{2}}){_REST}', ['d', 'q', 'm', 'q2', 'y', 'r']) f2,
+ regexp_extract(c, '^{_WD}(\\d{{1,2}})(?:\\.|st|nd|rd|th)?[ -]?(?:of )?(\\pL{{3,9}})\\.?,?[ -]?(\\d{{4}}|\\d{{2}}){_REST}', ['d', 'm', 'y', 'r']) f3,
+ regexp_extract(c, '^{_WD}(\\pL{{3,9}})\\.? (\\d{{1,2}})(?:st|nd|rd|th)?,? (\\d{{4}}){_REST}', ['m', 'd', 'y', 'r']) f4,
+ regexp_extract(c, '^(\\d{{4}})(\\d{{2}})(\\d{{2}})(?:[t ](\\d.*))?$', ['y', 'm', 'd', 'r']) f5,
+ regexp_extract(c, '^\\pL{{2,9}}\\.?,? (\\pL{{3,9}})\\.? (\\d{{1,2}}) (\\d{{1,2}}[:.].*?)(?: ([a-z]{{1,5}}))? (\\d{{4}})$', ['m', 'd', 'r', 'z', 'y']) f6 from a),
+n as (select *, case when f1.y <> '' and f1.q = f1.q2 then 1 when f2.y <> '' and f2.q = f2.q2 then 2 when f3.y <> '' then 3 when f4.y <> '' then 4 when f5.y <> '' then 5 when f6.y <> '' then 6 end k from m),
+o as (select published, c, k, case k when 1 then f1.y when 2 then f2.y when 3 then f3.y when 4 then f4.y when 5 then f5.y when 6 then f6.y end y, case k when 1 then f1.m when 2 then f2.m when 3 then f3.m when 4 then f4.m when 5 then f5.m when 6 then f6.m end mm,
+ case k when 1 then f1.d when 2 then f2.d when 3 then f3.d when 4 then f4.d when 5 then f5.d when 6 then f6.d end::int d,
+ case k when 1 then f1.r when 2 then f2.r when 3 then f3.r when 4 then f4.r when 5 then f5.r when 6 then f6.r || case when f6.z <> '' then ' ' || f6.z else '' end end r from n),
+t as (select *, case when r = '' then null when k = 5 then regexp_extract(r, '^(\\d{{2}}):?(\\d{{2}})(?::?(\\d{{2}})(?:[.,](\\d{{1,9}}))?)?()' || '{_TZ}', {_ZN})
+ else regexp_extract(r, '^(?:,? ?t|,)? ?(?:kl\\.? ?|at )?{_CLOCK}' || '{_TZ}', {_ZN}) end z, case when length(y) = 2 then 2000 + y::int else y::int end yy,
+ coalesce(try_cast(mm as int), element_at({_sql_map(MONTHS)}, mm)[1]) mo from o),
+u as (select *, case when z is null then 0 when z.p = '' then z.h::int when z.h::int between 1 and 12 then z.h::int % 12 + case when z.p = 'p' then 12 else 0 end end h,
+ case when z is null then 0 else z.i::int end i, case when z is null or z.s = '' then 0 else z.s::int end s, case when z is null then 0 else rpad(left(z.f, 3), 3, '0')::int end f from t where k is not null and (z is null or z.h <> '')),
+v as (select *, case when mo between 1 and 12 and yy >= 1 and d between 1 and day(last_day(make_date(yy, mo, 1))) and h between 0 and 23 and i <= 59 and s <= 59
+ then (make_date(yy, mo, d) - date '1970-01-01')::bigint * 86400000 + h * 3600000 + i * 60000 + s * 1000 + f end ms, coalesce(nullif(z.zr, ''), nullif(z.zb, '')) region from u),
+w as (select v.*, make_timestamp(ms * 1000) ts, x.name, make_date(yy, 3, 31) m31, make_date(yy, 10, 31) o31 from v left join (select name from pg_timezone_names() where contains(name, '/')) x on lower(x.name) = v.region where ms is not null),
+g as (select *, case when name is not null then case when timezone(name, timezone(name, ts) - interval 1 hour) = ts then epoch_ms(timezone(name, ts) - interval 1 hour) else epoch_ms(timezone(name, ts)) end end by_region,
+ case when ms >= (m31 - dayofweek(m31)::int - date '1970-01-01')::bigint * 86400000 + 10800000 and ms < (o31 - dayofweek(o31)::int - date '1970-01-01')::bigint * 86400000 + 10800000 then 7200000 else 3600000 end dk from w),
+j as (select published, case when z is not null and z.sg <> '' then case when z.oh::int <= 18 and coalesce(try_cast(z.om as int), 0) <= 59 then ms - (z.oh::int * 60 + coalesce(try_cast(z.om as int), 0)) * 60000 * case when z.sg = '-' then -1 else 1 end end
+ when region is not null then by_region when z is not null and z.za <> '' then ms - element_at({_sql_map(ZONES)}, z.za)[1]::bigint * 60000 else ms - dk end ms from g),
+q as (select published, try_cast(regexp_extract(c, '^([+-]?\\d{{1,19}})(?:\\.\\d{{1,9}})?$', 1) as hugeint) e, rpad(left(regexp_extract(c, '\\.(\\d+)$', 1), 3), 3, '0') fr from a where regexp_full_match(c, '[+-]?\\d{{1,19}}(\\.\\d{{1,9}})?') and not regexp_full_match(c, '\\d{{8}}')),
+p as (select published, ms from j where ms is not null union all
+ select published, case when abs(e) < 100000000000 then e * 1000 + case when e < 0 then -1 else 1 end * fr::int when abs(e) < 100000000000000 then e when abs(e) < 100000000000000000 then case when e < 0 then -((999 - e) // 1000) else e // 1000 end
+ else case when e < 0 then -((999999 - e) // 1000000) else e // 1000000 end end::bigint from q where e is not null)
+"""
+P1_SQL = (
+    _P1_SQL
+    + """, n1 as (select id, published, fetched_at::varchar::decimal(32, 9) d from articles)
+select distinct id, p.ms published_ms, floor(case when abs(d) < 100000000000 then d * 1000 when abs(d) < 100000000000000 then d else d / 1000 end)::bigint fetched_ms from n1 join p using (published) where d is not null"""
+)
+P1_UNREADABLE_SQL = _P1_SQL + "select x.published, count(*) n from articles x where not exists (select 1 from p where p.published = x.published) group by 1"
+
+
 #: Calls in which the log of runs is settled; each starts from the state the one before committed.
 P3_CALLS = 3
 
@@ -167,4 +216,4 @@ union all select 'smiley_translate', count(distinct trim(report_id)) filter (par
 """
 
 QUERIES = {"p1_found": p1_found, "p1_unreadable": p1_unreadable, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p6_files": p6_files, "p6_levels": p6_levels, "p6_increments": p6_increments}
-SQL = {"p3_found": P3_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p6_files": P6_FILES_SQL, "p6_increments": P6_INCREMENTS_SQL}
+SQL = {"p1_found": P1_SQL, "p1_unreadable": P1_UNREADABLE_SQL, "p3_found": P3_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p6_files": P6_FILES_SQL, "p6_increments": P6_INCREMENTS_SQL}
