@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeline.functions.text import error_signature
 from lakeline.operators.findings import has_remarks
+from lakeline.session import materialise
 
 RING = 90  # samples that rates are taken over
 
@@ -155,12 +156,33 @@ def enriched(status: DataFrame, derived: DataFrame, rss: DataFrame, control: dic
     return status.select("*", services).join(one(derived, "derived")).join(one(rss, "rss")).select("*", values, F.lit(bool(control.get("paused"))).alias("paused"), F.lit(now).alias("server_now"))
 
 
-def breaker(outcomes: DataFrame, by: list[str], order: list[str], failed: Column, window: int = 40, least: int = 20, trip: float = 0.5) -> DataFrame:
-    """Adds ``ratio`` of failures among the last ``window`` outcomes and ``is_open``: once it trips it stays open."""
-    w = Window.partitionBy(*by).orderBy(*order)
+def numbered(df: DataFrame, by: list[str], order: list[str], out: str = "_n") -> DataFrame:
+    """Number the rows of each series from 1 without gathering a series in one task: ranges are counted, and the counts summed up."""
+    part = F.spark_partition_id().alias("_part")
+    ranged = materialise(df.repartitionByRange(*by, *order).select("*", part), "ranges")  # a hot series is spread over ranges of its order
+    counts = ranged.groupBy(*by, "_part").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(*by, "_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_base"))  # a row for each series and range
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*by, "_part")]
+    inside = ranged.withColumn("_i", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)))
+    return inside.alias("r").join(base.alias("b"), same).select(*[f"r.{c}" for c in df.columns], (F.col("b._base") + F.col("r._i")).alias(out))
+
+
+def breaker(outcomes: DataFrame, by: list[str], order: list[str], failed: Column, window: int = 40, least: int = 20, trip: float = 0.5, segment: int = 100_000) -> DataFrame:
+    """Adds ``ratio`` of failures among the last ``window`` outcomes and ``is_open``: once it trips it stays open.
+
+    A series is cut into segments of ``segment`` rows; each also gets the last window - 1 rows of the one before. ``order`` must tell all rows of a series apart.
+    """
+    rows = numbered(outcomes.withColumn("_bad", failed.cast("int")), by, order)
+    seg = F.floor((F.col("_n") - 1) / segment)
+    carried = (F.col("_n") - 1) % segment >= segment - (window - 1)
+    spread = rows.select("*", F.explode(F.when(carried, F.array(seg, seg + 1)).otherwise(F.array(seg))).alias("_seg"))
+    w = Window.partitionBy(*by, "_seg").orderBy("_n")
     last = w.rowsBetween(-(window - 1), 0)
-    df = outcomes.withColumn("ratio", F.avg(failed.cast("int")).over(last)).withColumn("_n", F.count("*").over(last))
-    return df.withColumn("is_open", F.max((F.col("_n") >= least) & (F.col("ratio") >= trip)).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_n")
+    seen = spread.withColumn("ratio", F.avg("_bad").over(last)).withColumn("_trip", (F.least(F.col("_n"), F.lit(window)) >= least) & (F.col("ratio") >= trip)).where(F.col("_seg") == seg)
+    first = seen.where("_trip").groupBy(*by).agg(F.min("_n").alias("_first"))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")) for c in by]
+    return seen.alias("s").join(first.alias("f"), same, "left").select(*[f"s.{c}" for c in outcomes.columns], "s.ratio", F.coalesce(F.col("s._n") >= F.col("f._first"), F.lit(False)).alias("is_open"))
 
 
 def run_counters(outcomes: DataFrame) -> DataFrame:

@@ -175,3 +175,35 @@ def test_write_without_overwrite(spark, tmp_path):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert won == [0] and fs.read_text(spark, path) == "0" and fs.listing(spark, f"file://{tmp_path}/x") == ["1.json"]
+
+
+def test_breaker_over_segments(spark):
+    """Cut into segments of any size, the breaker is that of one window over the series."""
+    import random
+
+    r = random.Random(3)
+    rows = [(s, i, r.random() < (0.2 if s == "calm" else 0.45)) for s, n in (("calm", 90), ("wild", 400), (None, 60), ("few", 5)) for i in range(n)]
+    want = {}
+    for s in {x[0] for x in rows}:
+        bad, open_ = [], False
+        for _, i, x in sorted((x for x in rows if x[0] == s), key=lambda x: x[1]):
+            bad = [*bad, x][-40:]
+            ratio = sum(bad) / len(bad)
+            open_ |= len(bad) >= 20 and ratio >= 0.5
+            want[s, i] = (round(ratio, 9), open_)
+    df = spark.createDataFrame(rows, "s string, i long, bad boolean").repartition(5)
+    for segment in (40, 77, 1000):
+        got = metrics.breaker(df, ["s"], ["i"], F.col("bad"), segment=segment).collect()
+        assert len(got) == len(rows) and {(x.s, x.i): (round(x.ratio, 9), x.is_open) for x in got} == want
+    assert metrics.breaker(df.limit(0), ["s"], ["i"], F.col("bad")).count() == 0
+
+
+def test_command_line_stage(spark, tmp_path):
+    from lakeline.__main__ import main
+
+    rows = lambda *x: spark.createDataFrame(list(x), "report_id string, text string").write.mode("append").parquet(f"{tmp_path}/in")
+    rows(("1", "mus"), ("2", None))
+    for _ in range(2):  # a second look takes only what is new
+        assert main(["flags", f"{tmp_path}/in", f"{tmp_path}/out"]) == 0
+        rows(("3", "ok"))
+    assert sorted((r.report_id, r.has_pest) for r in spark.read.parquet(f"{tmp_path}/out/data").collect()) == [("1", True), ("3", False)]
