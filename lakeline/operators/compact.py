@@ -3,7 +3,7 @@
 Level by level, files of similar size (a tier spans one factor of ``fan_in``) are merged, about
 ``fan_in`` at a time, until they reach the target size; copies of a key that meet in a merge are
 reduced to the newest. The last, major merge distributes rows by key into files of the target size,
-which makes every key stand exactly once. Groups are drawn by a hash of the file's name, so no list
+which makes every key stand exactly once. Groups follow from each file's name alone, so no list
 of files is sorted, windowed or collected in one place.
 
 Each merge is one transaction: its id follows from its inputs; inputs and outputs are recorded
@@ -62,7 +62,7 @@ class SizeTieredCompactor:
         if done := fs.read_text(self.spark, entry):
             return json.loads(done)
         at = f"{self.root}/data/{txn}"
-        units.select("_unit", "_bytes", "_at", "_rows", F.pmod(F.xxhash64("_unit"), F.lit(parts)).alias("_group")).write.mode("overwrite").parquet(f"{at}/inputs")
+        units.select("_unit", "_bytes", "_at", "_rows", _group(parts).alias("_group")).write.mode("overwrite").parquet(f"{at}/inputs")
         placed = rows.repartition(parts, *by)
         # Rows of one key within one group are in one partition already: this aggregation needs no further exchange.
         payload = [c for c in rows.columns if c not in _OWN and c not in by]
@@ -118,7 +118,7 @@ class SizeTieredCompactor:
             mine = (tier == at) & (F.col("_bytes") < self.target_bytes)
             inside, outside = u.where(mine), u.where(~mine)
             groups = -(-n // self.fan_in)
-            chosen = _picked(r, inside).withColumn("_group", F.pmod(F.xxhash64("_unit"), F.lit(groups)))
+            chosen = _picked(r, inside).withColumn("_group", _group(groups))
             done = self._txn(gen, level, "tier", chosen, inside, groups, ["_group"])
             merged = self._open(done)
             if outside.limit(1).count():
@@ -224,6 +224,12 @@ def _units(files: DataFrame) -> DataFrame:
     return files.select("_unit", "_bytes", at.alias("_at"), "_rows")
 
 
+def _group(n: int):
+    """Group of a file among ``n``: outputs of a merge in turn by their number, so that groups are even and the same in every run; parts by a hash of their name."""
+    number = F.nullif(F.regexp_extract("_unit", r"/rows/part-(\d+)-", 1), F.lit("")).cast("long")
+    return F.pmod(F.coalesce(number, F.xxhash64("_unit")), F.lit(n))
+
+
 def _bucket(n: int):
     """Bucket of a row's key among ``n``; the same in every call."""
     return F.pmod(F.hash("_k"), F.lit(n))
